@@ -59,17 +59,19 @@ class Volume:
     min_rows: int
 
 
+def _labels(check: NotNull | Accepted | Unique) -> list[Column]:
+    return [
+        F.lit(check.name).alias("check_name"),
+        F.lit(check.table).alias("table_name"),
+        F.lit(check.column).alias("column_name"),
+    ]
+
+
 def column_checks(df: DataFrame, checks: Sequence[NotNull | Accepted]) -> DataFrame:
     """All not-null and accepted-value checks of one table in a single pass."""
     counts = df.agg(*[F.count_if(c.fails()).alias(f"c{i}") for i, c in enumerate(checks)])
     rows = [
-        F.struct(
-            F.lit(c.name).alias("check_name"),
-            F.lit(c.table).alias("table_name"),
-            F.lit(c.column).alias("column_name"),
-            F.col(f"c{i}").alias("violations"),
-        )
-        for i, c in enumerate(checks)
+        F.struct(*_labels(c), F.col(f"c{i}").alias("violations")) for i, c in enumerate(checks)
     ]
     return counts.select(F.inline(F.array(*rows)))
 
@@ -90,12 +92,23 @@ def unique_check(df: DataFrame, check: Unique) -> DataFrame:
         repeated = unique_violations(df, check.columns[0])
     else:
         repeated = grain_violations(df, check.columns)
-    return repeated.agg(F.count("*").alias("violations")).select(
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        "violations",
+    counts = repeated.agg(F.count("*").alias("violations"))
+    return counts.select(*_labels(check), "violations")
+
+
+def key_checks(df: DataFrame, unique: Unique, not_null: NotNull) -> DataFrame:
+    """Uniqueness and not-null of one column from the same grouping."""
+    key = F.col(unique.column)
+    per_key = df.groupBy(key).agg(F.count("*").alias("c"))
+    counts = per_key.agg(
+        F.count_if(key.isNotNull() & (F.col("c") > 1)).alias("repeated"),
+        F.coalesce(F.sum(F.when(key.isNull(), F.col("c"))), F.lit(0)).alias("nulls"),
     )
+    rows = [
+        F.struct(*_labels(check), F.col(count).alias("violations"))
+        for check, count in ((unique, "repeated"), (not_null, "nulls"))
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def volume_checks(tables: dict[str, DataFrame], checks: Sequence[Volume]) -> DataFrame:
@@ -118,16 +131,21 @@ def volume_checks(tables: dict[str, DataFrame], checks: Sequence[Volume]) -> Dat
 def report(tables: dict[str, DataFrame], checks: Sequence[NotNull | Accepted | Unique]) -> DataFrame:
     """One row per check: name, table, column, violations, passed.
 
-    Each table is read once for all its column checks and once per uniqueness check, so pass
-    stored tables rather than long lazy plans.
+    Each table is read once for all its column checks and once per uniqueness check. Where the
+    only column check is not-null on a unique key, as in staging, both come from one reading.
     """
     parts = []
     for table, df in tables.items():
         mine = [c for c in checks if c.table == table]
         per_row = [c for c in mine if not isinstance(c, Unique)]
-        if per_row:
+        unique = [c for c in mine if isinstance(c, Unique)]
+        paired = [u for u in unique if per_row == [NotNull(table, u.column)]]
+        if paired:
+            parts.append(key_checks(df, paired[0], per_row[0]))
+            unique.remove(paired[0])
+        elif per_row:
             parts.append(column_checks(df, per_row))
-        parts.extend(unique_check(df, c) for c in mine if isinstance(c, Unique))
+        parts.extend(unique_check(df, c) for c in unique)
     joined = reduce(DataFrame.unionByName, parts)
     return joined.withColumn("passed", F.col("violations") == 0)
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tripmill.operators.flatten import normalize_json
-from tripmill.sinks.tables import append_rows, export_ndjson
+from tripmill.session import scratch_dir
+from tripmill.sinks.tables import append_rows, export_ndjson, write_flat
 from tripmill.sources.events import read_hours
 
 
@@ -22,8 +23,14 @@ def load_archive(
     key: str = "id",
     template: str = "{hour}.json.gz",
 ) -> dict[str, DataFrame]:
-    """Append the given hours to one flat table per nesting level and read the tables back."""
-    tables = normalize_json(read_hours(spark, root, hours, schema, template), name, key)
+    """Append the given hours to one flat table per nesting level and read the tables back.
+
+    The text is parsed once, into a columnar copy in the shared scratch folder; every table then
+    reads only the columns it needs from there.
+    """
+    parsed = scratch_dir(spark, "parsed-events")
+    write_flat(read_hours(spark, root, hours, schema, template), parsed)
+    tables = normalize_json(spark.read.schema(schema).parquet(parsed), name, key)
     for label, df in tables.items():
         append_rows(df, f"{out}/{label}")
     return {label: spark.read.schema(df.schema).parquet(f"{out}/{label}") for label, df in tables.items()}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmill.operators.align import align_to_schema, merge_months
 from tripmill.operators.quality import Volume, volume_checks
 from tripmill.schemas import SERVICES, warehouse_schema
-from tripmill.sinks.tables import write_by_day, write_flat
+from tripmill.sinks.tables import DAY_COLUMN, write_by_day, write_flat
 
 log = logging.getLogger(__name__)
 
@@ -44,9 +44,10 @@ def ingest_service(
     trips = load_types(merge_months(spark, template, months, timestamps))
     if timestamps[0] in trips.columns:
         write_by_day(trips, out, timestamps[0])
+        loaded = spark.read.schema(trips.schema.add(DAY_COLUMN, "date")).parquet(out)
     else:
         write_flat(trips, out)
-    loaded = spark.read.parquet(out)
+        loaded = spark.read.schema(trips.schema).parquet(out)
     mine = [c for c in checks if c.table == service]
     if mine and not skip_checks:
         short = [r for r in volume_checks({service: loaded}, mine).collect() if not r.passed]

@@ -79,4 +79,5 @@ def missing_months(calendar: DataFrame, observed: DataFrame) -> DataFrame:
 
 def observed_months(df: DataFrame, ts_col: str) -> DataFrame:
     """Distinct months of a timestamp column; reduced per partition before the shuffle."""
-    return df.select(F.date_format(ts_col, "yyyy-MM").alias("ym")).where("ym is not null").distinct()
+    starts = df.where(F.col(ts_col).isNotNull()).select(F.trunc(ts_col, "month").alias("month"))
+    return starts.distinct().select("month", F.date_format("month", "yyyy-MM").alias("ym"))
