@@ -1,4 +1,10 @@
-"""Zone dimension and trip facts."""
+"""Zone dimension and trip facts.
+
+No join here carries a broadcast hint. Spark broadcasts a dimension by its own size check
+(``spark.sql.autoBroadcastJoinThreshold``, on file statistics when planning and on real sizes
+while running). Beyond that both sides shuffle, and the adaptive skew join splits the trips of a
+hot id over several tasks.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +12,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripmill.schemas import PASSED_COLUMNS
 
-BROADCAST_BYTES = 32 * 1024 * 1024
-
 
 def dim_zones(seed: DataFrame) -> DataFrame:
     """Zone dimension; every literal 'Boro' in service_zone reads 'Green'."""
@@ -23,27 +26,6 @@ def dim_zones(seed: DataFrame) -> DataFrame:
     )
 
 
-def held_bytes(df: DataFrame) -> int:
-    """Upper estimate of a frame's size in memory, from one aggregate over it."""
-
-    def width(f: T.StructField):
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            return F.coalesce(F.octet_length(f.name), F.lit(0)) + 16
-        return F.lit(16)
-
-    row = reduce(lambda a, b: a + b, [width(f) for f in df.schema.fields])
-    return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()[0]
-
-
-def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a dimension for broadcast only when its measured size allows it.
-
-    Otherwise no hint is set: Spark shuffles both sides and its adaptive skew join splits the
-    trips of a hot id over several tasks.
-    """
-    return F.broadcast(dim) if held_bytes(dim) <= max_bytes else dim
-
-
 def _role(zones: DataFrame, role: str) -> DataFrame:
     return zones.select(
         F.col("locationid").alias(f"{role}_locationid"),
@@ -53,10 +35,7 @@ def _role(zones: DataFrame, role: str) -> DataFrame:
 
 
 def join_zone(trips: DataFrame, zones: DataFrame, role: str) -> DataFrame:
-    """Add borough and zone of one role (pickup or dropoff); trips with unknown ids fall away.
-
-    ``zones`` keeps its broadcast mark, if it has one, for as many roles as it is joined in.
-    """
+    """Add borough and zone of one role (pickup or dropoff); trips with unknown ids fall away."""
     return trips.join(_role(zones, role), f"{role}_locationid", "inner")
 
 
@@ -66,11 +45,8 @@ def union_services(staged: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
-def fact_trips(
-    trips: DataFrame, zones: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def fact_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips of all services with the zone dimension in its two roles (23 columns)."""
-    zones = broadcast_if_small(zones.select("locationid", "borough", "zone"), max_broadcast_bytes)
     joined = join_zone(join_zone(trips, zones, "pickup"), zones, "dropoff")
     return joined.select(
         "tripid",
@@ -90,14 +66,8 @@ def fact_trips(
     )
 
 
-def unmatched_zones(
-    trips: DataFrame, zones: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Trips whose pickup or dropoff id the dimension does not know, counted per service and role.
-
-    Ids are counted first, so the anti joins see one row per id instead of one per trip.
-    """
-    known = broadcast_if_small(zones.select("locationid"), max_broadcast_bytes)
+def unmatched_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Trips whose pickup or dropoff id the dimension does not know, counted per service and role."""
     ids = trips.select(
         "service_type",
         F.explode(
@@ -108,7 +78,7 @@ def unmatched_zones(
     )
     per_id = ids.groupBy("service_type", "role", "locationid").agg(F.count("*").alias("n"))
     return (
-        per_id.join(known, "locationid", "left_anti")
+        per_id.join(zones.select("locationid"), "locationid", "left_anti")
         .groupBy("service_type", "role")
         .agg(F.sum("n").alias("dropped_trips"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions.scalars import id_text, to_int64, trip_key
@@ -23,8 +23,10 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     partition before it shuffles, so a key that holds a large share of the rows ships at most
     one row per task. List the most selective key first: it leads the sort.
     """
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    by = ", ".join(f"`{k}`" for k in keys)
+    first = ", ".join(f"`{c}` asc nulls first" for c in order)
+    rank = F.expr(f"row_number() over (partition by {by} order by {first})")
+    return df.withColumn("rn", rank).where("rn = 1").drop("rn")
 
 
 def stage_trips(raw: DataFrame, service: str, ts_suffix: str = "") -> DataFrame:

@@ -235,7 +235,7 @@ def union_services(spark, sf_dir):
 def join_pickup_zone(spark, sf_dir):
     trips = testtables.raw_trips(spark, sf_dir, "Yellow")
     trips = trips.withColumnRenamed("PULocationID", "pickup_locationid")
-    dim = core.broadcast_if_small(core.dim_zones(testtables.zone_seed(spark, sf_dir)))
+    dim = core.dim_zones(testtables.zone_seed(spark, sf_dir))
     return core.join_zone(trips, dim, "pickup").select(
         "pickup_locationid", "pickup_borough", "pickup_zone", "tpep_pickup_datetime", "fare_amount"
     )
@@ -246,7 +246,7 @@ def join_role_playing(spark, sf_dir):
     trips = testtables.raw_trips(spark, sf_dir, "Yellow").withColumnsRenamed(
         {"PULocationID": "pickup_locationid", "DOLocationID": "dropoff_locationid"}
     )
-    dim = core.broadcast_if_small(core.dim_zones(testtables.zone_seed(spark, sf_dir)))
+    dim = core.dim_zones(testtables.zone_seed(spark, sf_dir))
     both = core.join_zone(core.join_zone(trips, dim, "pickup"), dim, "dropoff")
     return both.groupBy("pickup_zone", "dropoff_zone", "dropoff_borough").agg(F.count("*").alias("trips"))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmill.functions.calendar import hour_keys, month_keys
 from tripmill.schemas import SERVICES
@@ -20,35 +21,40 @@ ZONE_IDS = 27
 DRIFT_YEARS = (1997, 1999)
 
 _written: dict[tuple, tuple] = {}
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the footer once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     """Raw trips of one service in the shape of a monthly trip file."""
     pickup, dropoff = SERVICES[service]
     lines = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == STATUS[service])
-    return lines.select(
-        F.nullif(F.col("l_suppkey"), F.lit(0).cast("bigint")).alias("VendorID"),
-        F.col("l_shipdate").alias(pickup),
-        (F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).alias(dropoff),
-        F.col("l_linenumber").alias("passenger_count"),
-        F.col("l_quantity").alias("trip_distance"),
-        (F.col("l_quantity") / 2).alias("RatecodeID"),
-        (F.col("l_partkey") % ZONE_IDS).alias("PULocationID"),
-        (F.col("l_orderkey") % ZONE_IDS).alias("DOLocationID"),
-        F.expr("cast(instr('ANR', l_returnflag) as bigint)").alias("payment_type"),
-        F.col("l_extendedprice").alias("fare_amount"),
-        F.col("l_discount").alias("extra"),
-        F.col("l_tax").alias("mta_tax"),
-        (F.col("l_discount") * 100).alias("tip_amount"),
-        F.col("l_quantity").alias("tolls_amount"),
-        F.lit(0.3).alias("improvement_surcharge"),
-        (F.col("l_extendedprice") + F.col("l_quantity")).alias("total_amount"),
-        F.when(F.col("l_tax") > 0, F.lit(2.5)).alias("congestion_surcharge"),
-        F.when(F.col("l_discount") > 0, F.lit(1.25)).alias("airport_fee"),
+    return lines.selectExpr(
+        "nullif(l_suppkey, 0L) as VendorID",
+        f"l_shipdate as {pickup}",
+        f"l_shipdate + make_dt_interval(0, l_linenumber) as {dropoff}",
+        "l_linenumber as passenger_count",
+        "l_quantity as trip_distance",
+        "l_quantity / 2 as RatecodeID",
+        f"l_partkey % {ZONE_IDS} as PULocationID",
+        f"l_orderkey % {ZONE_IDS} as DOLocationID",
+        "cast(instr('ANR', l_returnflag) as bigint) as payment_type",
+        "l_extendedprice as fare_amount",
+        "l_discount as extra",
+        "l_tax as mta_tax",
+        "l_discount * 100 as tip_amount",
+        "l_quantity as tolls_amount",
+        "0.3D as improvement_surcharge",
+        "l_extendedprice + l_quantity as total_amount",
+        "case when l_tax > 0 then 2.5D end as congestion_surcharge",
+        "case when l_discount > 0 then 1.25D end as airport_fee",
     )
 
 
