@@ -154,4 +154,7 @@ def test_shuffle_width_follows_the_input(spark, tmp_path, conf, monkeypatch):
     monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 100)
     wanted = fit_shuffle(spark, out)
     assert wanted == -(-input_bytes(spark, out) // 100) and spark.conf.get(key) == str(wanted)
-    spark.conf.unset(key)
+    monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 10**9)
+    assert fit_shuffle(spark, out) == 8 and spark.conf.get(key, None) is None
+    conf(key, "500")
+    assert fit_shuffle(spark, out) == 500 and spark.conf.get(key) == "500"  # the user's own setting stays

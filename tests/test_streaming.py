@@ -10,6 +10,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from trips import raw
 
+from tripmill.plans.live_stats import trip_stats
 from tripmill.schemas import TRIP_MESSAGE, TRIP_STATS, TRIP_STATS_KEY
 from tripmill.sinks.keyed import current_rows
 from tripmill.sources.topics import file_topic, publish_files
@@ -70,8 +71,7 @@ def rows_of(df):
 
 def stream_counts(spark, folder, lateness="0 seconds"):
     topic = file_topic(spark, folder, files_per_batch=1)
-    trips = windows.with_event_time(messages.parse_messages(topic), PICKUP, lateness)
-    return windows.tumbling_counts(trips, PICKUP)
+    return trip_stats(topic, event_time=PICKUP, lateness=lateness)
 
 
 def run_append(spark, counts, tmp_path):
@@ -148,11 +148,21 @@ def test_upserts_keep_open_windows_current(spark, tmp_path):
     assert now == {("1", "00:00"): 3, ("2", "00:00"): 1, ("1", "00:05"): 1, ("2", "00:05"): 2, ("1", "00:10"): 2}
 
 
+def test_a_topic_can_start_at_its_latest_files(spark, tmp_path):
+    folder = str(tmp_path / "topic")
+    send(folder, *BATCHES)
+    since = datetime.fromtimestamp(1_600_000_002)  # file time of the third batch
+    topic = file_topic(spark, folder, files_per_batch=1, since=since)
+    out = str(tmp_path / "out")
+    counts = trip_stats(topic, event_time=PICKUP, lateness=None)
+    live.upsert_open(counts, out, str(tmp_path / "offsets"), available_now=True).awaitTermination()
+    assert rows_of(current_rows(spark, out, TRIP_STATS, TRIP_STATS_KEY)) == {("1", "00:10"): 1}
+
+
 def test_processing_time_counts_every_row(spark, tmp_path):
     folder, out = str(tmp_path / "topic"), str(tmp_path / "out")
     send(folder, *BATCHES)
-    arrived = windows.with_arrival_time(messages.parse_messages(file_topic(spark, folder)))
-    counts = windows.tumbling_counts(arrived, "proc_time")
+    counts = trip_stats(file_topic(spark, folder))
     live.upsert_open(counts, out, str(tmp_path / "offsets"), available_now=True).awaitTermination()
     stats = current_rows(spark, out, TRIP_STATS, TRIP_STATS_KEY).collect()
     per_vendor = {}

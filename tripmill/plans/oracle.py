@@ -301,7 +301,7 @@ ORACLE: dict[str, str] = {
     ),
     "partitioned_write": _with(
         """
-        select cast(tpep_pickup_datetime as date) as pickup_date, count(*) as trips,
+        select strftime(tpep_pickup_datetime, '%Y-%m-%d') as day, count(*) as trips,
                cast(sum(passenger_count) as bigint) as passengers
         from raw_yellow where year(tpep_pickup_datetime) = 1998 group by 1
         """,

@@ -14,6 +14,7 @@ from tripmill.functions.calendar import month_calendar
 from tripmill.operators import align, core, flatten, marts, quality, serving, staging
 from tripmill.plans import archive, warehouse
 from tripmill.plans.ingest import ingest_service, load_types
+from tripmill.plans.live_stats import trip_stats
 from tripmill.schemas import SERVICES, TRIP_STATS, TRIP_STATS_KEY
 from tripmill.session import prepare, scratch_dir
 from tripmill.sinks import keyed, tables
@@ -183,7 +184,7 @@ def partitioned_write(spark, sf_dir):
     out = scratch_dir(spark, "raw-yellow")
     loaded = ingest_service(spark, "Yellow", template, keys, out, VOLUMES, skip_checks=True)
     year = tables.between_dates(loaded, "tpep_pickup_datetime", date(1998, 1, 1), date(1999, 1, 1))
-    return year.groupBy(tables.DAY_COLUMN).agg(
+    return year.groupBy(F.col(tables.DAY_COLUMN).cast("string").alias("day")).agg(
         F.count("*").alias("trips"),
         F.sum("passenger_count").cast("bigint").alias("passengers"),
     )
@@ -483,8 +484,7 @@ def stream_json_parse(spark, sf_dir):
 def stream_replay(spark, sf_dir):
     """Published trips replayed a file at a time and counted per vendor and window."""
     topic = topics.file_topic(spark, _published_trips(spark, sf_dir), files_per_batch=4)
-    trips = windows.with_event_time(messages.parse_messages(topic), "lpep_pickup_datetime", None)
-    return _run_upsert(spark, windows.tumbling_counts(trips, "lpep_pickup_datetime"))
+    return _run_upsert(spark, trip_stats(topic, event_time="lpep_pickup_datetime", lateness=None))
 
 
 @query("events")

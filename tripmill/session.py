@@ -21,7 +21,10 @@ _SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _sizes: dict[str, int] = {}
+_raised: dict[str, str] = {}
 
 
 def build_session(app: str = "tripmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -57,14 +60,14 @@ def fit_shuffle(spark: SparkSession, *paths: str) -> int:
     is what hurts a large input.
     """
     total = sum(input_bytes(spark, p) for p in paths)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(MAX_SHUFFLE_PARTITIONS, -(-total // TARGET_PARTITION_BYTES))
-    if wanted <= current:
-        # back to Spark's default, which is spark.sql.shuffle.partitions
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-        return current
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return wanted
+    if spark.conf.get(_INITIAL, None) == _raised.get(spark.sparkContext.applicationId):
+        spark.conf.unset(_INITIAL)  # set here for an earlier input, not by the user
+    current = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set(_INITIAL, str(wanted))
+        _raised[spark.sparkContext.applicationId] = str(wanted)
+    return max(wanted, current)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -25,12 +25,15 @@ def upsert_writer(path: str) -> Callable[[DataFrame, int], None]:
 def current_rows(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
 ) -> DataFrame:
-    """The newest row of every key. Changes are reduced per task before they are shuffled."""
+    """The newest row of every key. Changes are reduced per task before they are shuffled.
+
+    A batch holds a key at most once, so all columns of a key come from the same row.
+    """
     log_schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     changes = spark.read.schema(log_schema).option("basePath", path).parquet(path)
     values = [c for c in schema.names if c not in keys]
-    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("row"))
-    return newest.select(*keys, "row.*").select(*schema.names)
+    newest = changes.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
+    return newest.select(*schema.names)
 
 
 def compact(

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 
+def file_topic(
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int | None = None,
+    since: datetime | None = None,
+) -> DataFrame:
+    """A folder of text files, one message per line, as a stream.
 
-def file_topic(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """A folder of text files, one message per line, as a stream."""
+    ``since`` starts at the latest messages: files last changed before that moment are skipped.
+    """
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    lines = reader.load(path)
+    if since is not None:
+        changed = F.col("_metadata.file_modification_time")
+        lines = lines.where(changed >= F.timestamp_micros(F.lit(int(since.timestamp() * 1_000_000))))
+    return lines.select("value")
 
 
 def kafka_topic(
