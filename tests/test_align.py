@@ -166,9 +166,20 @@ def test_few_months_draw_a_warning(spark, month_folder, caplog):
     assert "3 of 4 months" in caplog.text
 
 
-def test_scan_of_mixed_schemas_is_refused(spark, month_folder):
-    with pytest.raises(ValueError, match="3 different schemas"):
+def test_scan_reads_agreeing_months_and_refuses_type_conflicts(spark, month_folder):
+    alone = months.scan_months(spark, month_folder, ["2019-02", "2019-03"])
+    assert alone.count() == 1
+    with pytest.raises(Exception, match="CANNOT_MERGE_SCHEMAS"):
         months.scan_months(spark, month_folder, MONTHS)
+    with pytest.raises(FileNotFoundError):
+        months.scan_months(spark, month_folder, ["2030-01"])
+
+
+def test_scan_fills_columns_that_a_month_lacks(spark, tmp_path):
+    for ym, columns in (("2019-01", ["a"]), ("2019-02", ["a", "b"])):
+        pq.write_table(pa.table({c: [1] for c in columns}), tmp_path / f"t_{ym}.parquet")
+    got = months.scan_months(spark, f"{tmp_path}/t_{{ym}}.parquet", MONTHS)
+    assert sorted(tuple(r) for r in got.na.fill(0).collect()) == [(1, 0), (1, 1)]
 
 
 def test_profile_covers_all_rows(spark, month_folder):
