@@ -5,6 +5,7 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.operators.flatten import normalize_json
@@ -51,6 +52,17 @@ def test_hours_without_a_file_give_no_rows(spark, root, schema):
     assert nothing.count() == 0 and nothing.schema == schema
 
 
+def test_hour_folders_are_pruned(spark, root, schema, tmp_path):
+    out = str(tmp_path / "folders")
+    records = events.read_hours(spark, root, HOURS, schema)
+    hourly = records.withColumn("hour", F.concat(F.lit("2024-01-01-"), F.col("id").cast("int") - 1))
+    hourly.write.partitionBy("hour").option("compression", "gzip").json(out)
+    some = events.read_hour_folders(spark, out, HOURS[1:], schema)
+    assert some.schema == schema and [r.id for r in some.collect()] == ["2"]
+    assert "PartitionFilters: [hour" in some._jdf.queryExecution().executedPlan().toString()
+    assert sorted(events.read_hour_folders(spark, out, HOURS, schema).collect()) == sorted(records.collect())
+
+
 def test_malformed_line_stops_the_load(spark, root, schema):
     with gzip.open(f"{root}/2024-01-01-2.json.gz", "wt") as f:
         f.write('{"id": \n')
@@ -88,7 +100,7 @@ def test_nested_records_become_flat_tables(spark, root, schema):
 def test_loads_append(spark, root, schema, tmp_path):
     out = str(tmp_path / "out")
     for n in (1, 2):
-        tables = load_archive(spark, root, HOURS, schema, out)
+        tables = load_archive(events.read_hours(spark, root, HOURS, schema), out)
         assert tables["events"].count() == 2 * n and tables["events__tags"].count() == 2 * n
 
 

@@ -2,35 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 from tripmill.operators.flatten import normalize_json
 from tripmill.session import scratch_dir
 from tripmill.sinks.tables import append_rows, export_ndjson, write_flat
-from tripmill.sources.events import read_hours
 
 
 def load_archive(
-    spark: SparkSession,
-    root: str,
-    hours: Sequence[str],
-    schema: T.StructType,
-    out: str,
-    name: str = "events",
-    key: str = "id",
-    template: str = "{hour}.json.gz",
+    records: DataFrame, out: str, name: str = "events", key: str = "id"
 ) -> dict[str, DataFrame]:
-    """Append the given hours to one flat table per nesting level and read the tables back.
+    """Append nested records to one flat table per nesting level and read the tables back.
 
     The text is parsed once, into a columnar copy in the shared scratch folder; every table then
     reads only the columns it needs from there.
     """
+    spark = records.sparkSession
     parsed = scratch_dir(spark, "parsed-events")
-    write_flat(read_hours(spark, root, hours, schema, template), parsed)
-    tables = normalize_json(spark.read.schema(schema).parquet(parsed), name, key)
+    write_flat(records, parsed)
+    tables = normalize_json(spark.read.schema(records.schema).parquet(parsed), name, key)
     for label, df in tables.items():
         append_rows(df, f"{out}/{label}")
     return {label: spark.read.schema(df.schema).parquet(f"{out}/{label}") for label, df in tables.items()}

@@ -73,7 +73,7 @@ def _event_counts(spark, sf_dir):
 def _archive(spark, sf_dir):
     root, hours = testtables.event_archive(spark, sf_dir)
     schema = T.StructType.fromDDL(testtables.EVENT_SCHEMA)
-    return event_source.read_hours(spark, root, hours, schema, "hour={hour}")
+    return event_source.read_hour_folders(spark, root, hours, schema)
 
 
 # --- sources and ingest -----------------------------------------------------------------------
@@ -422,11 +422,9 @@ def json_children(spark, sf_dir):
 @query("events")
 def append_events(spark, sf_dir):
     """The archive loaded twice into the same tables: appends keep what is there."""
-    root, hours = testtables.event_archive(spark, sf_dir)
-    schema = T.StructType.fromDDL(testtables.EVENT_SCHEMA)
     out = scratch_dir(spark, "archive")
     for _ in range(2):
-        loaded = archive.load_archive(spark, root, hours, schema, out, template="hour={hour}")
+        loaded = archive.load_archive(_archive(spark, sf_dir), out)
     return loaded["events"].groupBy("type").agg(F.count("*").alias("cnt"))
 
 

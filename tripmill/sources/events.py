@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,22 +14,31 @@ def read_hours(
     root: str,
     hours: Sequence[str],
     schema: T.StructType,
-    template: str = "{hour}.json.gz",
+    suffix: str = ".json.gz",
     mode: str = "FAILFAST",
 ) -> DataFrame:
     """Events of the given ``YYYY-MM-DD-H`` hours; an hour without a file gives no rows.
 
-    gzip cannot be split, so each hour file is one task of the scan. Transformations that shuffle
-    spread the rows again; a caller that does not shuffle can ``repartition``.
+    The folder is listed once and its files are chosen by name. gzip cannot be split, so each
+    file is read by one task. Transformations that shuffle spread the rows again; a caller that
+    does not shuffle can ``repartition``.
     """
-    names = template.format(hour="{" + ",".join(hours) + "}")
-    try:
-        # the alternatives of a glob may be absent; only a glob without any match is an error
-        return spark.read.schema(schema).option("mode", mode).json(f"{root.rstrip('/')}/{names}")
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" not in str(err):
-            raise
-        return spark.createDataFrame([], schema)
+    names = "{" + ",".join(hours) + "}" + suffix
+    reader = spark.read.schema(schema).option("mode", mode).option("pathGlobFilter", names)
+    return reader.json(root)
+
+
+def read_hour_folders(
+    spark: SparkSession,
+    root: str,
+    hours: Sequence[str],
+    schema: T.StructType,
+    mode: str = "FAILFAST",
+) -> DataFrame:
+    """The same for an archive that holds a folder ``hour=YYYY-MM-DD-H`` of files per hour."""
+    with_hour = T.StructType([*schema.fields, T.StructField("hour", T.StringType())])
+    events = spark.read.schema(with_hour).option("mode", mode).json(root)
+    return events.where(F.col("hour").isin(*hours)).drop("hour")
 
 
 def read_ndjson(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
