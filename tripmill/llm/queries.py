@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import histogram_shard, license_scan, poisson_mix, toxicity_fm
+from tripmill.llm import histogram_shard, license_scan, poisson_mix, quality_crf, toxicity_fm
 from tripmill.llm.common import table
 
 QUERIES = {}
@@ -13,6 +13,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality_crf(spark, sf_dir):
+    return quality_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_license_scan(spark, sf_dir):
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
