@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tripmill.llm import histogram_shard, license_scan, poisson_mix, quality_crf, toxicity_fm
+import public_tokenizers
+
+from tripmill.llm import backoff_lm, histogram_shard, license_scan, poisson_mix, quality_crf, token_index, toxicity_fm
 from tripmill.llm.common import table
 
 QUERIES = {}
@@ -28,11 +30,21 @@ def op5_toxicity_fm(spark, sf_dir):
     return toxicity_fm.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_token_index(spark, sf_dir):
+    return token_index.token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op7_histogram_shard(spark, sf_dir):
     return histogram_shard.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
+@query
+def op9_backoff_lm(spark, sf_dir):
+    return backoff_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_poisson_mix(spark, sf_dir):
     return poisson_mix.poisson_mix(table(spark, sf_dir, "documents"))

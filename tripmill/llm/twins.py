@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import license_scan, poisson_mix
+from tripmill.llm import backoff_lm, license_scan, poisson_mix
 
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -76,4 +76,46 @@ copied as (select *, unnest(range(copies))::int as copy from counted where copie
 select *, {u(str(seed + 1), "doc_id", "copy")} as order_key from copied"""
 
 
-ORACLE = {"op4_license_scan": _license_sql(), "op10_poisson_mix": _mix_sql()}
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+    byte = "list_reduce(list_concat([xor(c, b)], range(8)), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def _lm_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"list_filter(regexp_split_to_array({lower}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+    mu = f"{backoff_lm.MU}::double"
+    return f"""
+with texts as (
+  select row_number() over () as rid, doc_id,
+    {_crc32("doc_id::varchar")} % {backoff_lm.MODULUS} = {backoff_lm.REMAINDER} as held,
+    list_append(list_transform({words}, lambda w: 'w' || w), 'end') as ws
+  from documents),
+tokens as (select rid, held, generate_subscripts(ws, 1) as pos, unnest(ws) as w from texts),
+read as (select *, coalesce(lag(w) over (partition by rid order by pos), 'start') as h from tokens),
+words as (select w, count(*) as c from read where not held group by w),
+pairs as (select h, w, count(*) as c from read where not held group by h, w),
+states as (select w as h, c from words union all select 'start', count(*) from texts where not held),
+size as (select sum(c) as n, count(*) as v, (sum(c) + count(*) + 1)::double as bins from words),
+weighed as (
+  select rid, coalesce(words.c, 0) as c, coalesce(pairs.c, 0) as arcs, coalesce(states.c, 0) as state
+  from read left join words using (w) left join pairs on pairs.h = read.h and pairs.w = read.w
+  left join states on states.h = read.h),
+logs as (
+  select rid, c, log10((c + 1) / bins) as plain,
+    case when arcs > 0 then log10((arcs + {mu} * ((c + 1) / bins)) / (state + {mu}))
+      else log10({mu} / (state + {mu})) + log10((c + 1) / bins) end as weight
+  from weighed, size),
+summed as (
+  select rid, count(*) as n_tokens, count(*) filter (c > 0) as n_known,
+    sum(round(plain * 1e9)::bigint)::bigint / 1e9 as base_score,
+    sum(round(weight * 1e9)::bigint)::bigint / 1e9 as score
+  from logs group by rid)
+select doc_id, held as held_out, n_tokens, n_known, (select n::bigint from size) as train_tokens,
+  base_score::double as base_score, score::double as score
+from texts join summed using (rid)"""
+
+
+ORACLE = {"op9_backoff_lm": _lm_sql(), "op4_license_scan": _license_sql(), "op10_poisson_mix": _mix_sql()}
