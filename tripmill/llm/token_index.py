@@ -11,12 +11,16 @@ shard.
 from __future__ import annotations
 
 import os
+import string
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,8 +34,10 @@ CHUNK_BYTES = 1 << 20
 BUCKET_KEYS = 50_000
 #: Bits of a level for each key still to be placed.
 LEVEL_BITS = 2.0
-#: Pieces of text whose ids a worker keeps; all are dropped when there are more.
-MEMO = 400_000
+#: Pieces whose ids a worker keeps; all are dropped when there are more.
+MEMO = 800_000
+#: Words with letters beyond this one are encoded as they stand.
+_LAST_LATIN = "\u024f"
 
 _PAYLOAD = (
     "shard int, chunk int, width int, n_ids long, doc_ids array<long>, occurrences array<long>, "
@@ -48,7 +54,9 @@ class _Encoder:
     """Ids of texts, as bytes.
 
     The tokenizer drops white space and no token reaches across it, so a text's ids are those of
-    its pieces between spaces and line ends, one after the other; pieces repeat, so their ids are kept.
+    its pieces between spaces and line ends, one after the other; pieces repeat, so their ids are
+    kept. A new piece of letters and a tail of ASCII symbols is two tokens groups to the tokenizer
+    in any case, and ASCII letters lose their case, so such pieces share the encoding of their word.
     """
 
     def __init__(self, path: str):
@@ -60,15 +68,47 @@ class _Encoder:
         self.end = np.array([END_ID], self.dtype).tobytes()
         self.memo: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+    def _learn(self, pieces: list[str]) -> None:
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        for piece, coded in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
+            ids = array(kind, coded.ids)
+            if sys.byteorder == "big":
+                ids.byteswap()
+            self.memo[piece] = ids.tobytes()
+
+    def _coded(self, pieces: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO:
             self.memo.clear()
-        new = list({p for pieces in split for p in pieces}.difference(self.memo))
-        for piece, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.memo[piece] = np.array(coded.ids, self.dtype).tobytes()
-        get = self.memo.__getitem__
-        return [b"".join(map(get, pieces)) + self.end for pieces in split]
+        memo = self.memo
+        parts = {p: _parts(p) for p in pieces if p not in memo}
+        self._learn(list({x for group in parts.values() for x in group}.difference(memo)))
+        for piece, group in parts.items():
+            memo[piece] = memo[group[0]] if len(group) == 1 else memo[group[0]] + memo[group[1]]
+        return [memo[p] for p in pieces]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text: its distinct pieces are encoded, then laid out in the order of the text."""
+        pieces = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        ends = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+        flat = pieces.flatten().dictionary_encode()
+        which, coded = flat.indices.to_numpy(), self._coded(flat.dictionary.to_pylist())
+        width = self.dtype.itemsize
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // width
+        start, ids = np.cumsum(size) - size, np.frombuffer(b"".join(coded), self.dtype)
+        sizes = size[which]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        laid = ids[np.repeat(start[which] - stops[:-1], sizes) + np.arange(stops[-1])].tobytes()
+        cuts = stops[ends] * width
+        return [laid[a:b] + self.end for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _parts(piece: str) -> tuple[str, ...]:
+    word = piece.rstrip(string.punctuation)
+    if not word.isalpha() or max(word) > _LAST_LATIN:
+        return (piece,)
+    tail = piece[len(word) :]
+    word = word.lower() if word.isascii() else word
+    return (word, tail) if tail else (word,)
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -81,16 +121,12 @@ def _encoder(path: str) -> _Encoder:
     return _encoders[path]
 
 
-def _slices(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
-    part, held = [], 0
-    for text in texts:
-        part.append(text)
-        held += len(text)
-        if held >= size:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
+def _slices(texts: pa.Array, size: int = 16 << 20) -> Iterator[pa.Array]:
+    """Runs of whole texts of about this many bytes."""
+    lengths = pc.binary_length(texts).to_numpy()
+    run = (np.cumsum(lengths) - lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1), len(texts)]
+    return (texts.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b)
 
 
 def _payload(docs: DataFrame, tokenizer: str, chunk_bytes: int) -> DataFrame:
@@ -110,9 +146,8 @@ def _payload(docs: DataFrame, tokenizer: str, chunk_bytes: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=fields)
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            for part in _slices(texts):
+            keys, at = batch.column(0).to_pylist(), 0
+            for part in _slices(batch.column(1)):
                 for key, data in zip(keys[at : at + len(part)], encoder.encode(part), strict=True):
                     occurrence = occurrence + 1 if key == last else 0
                     last = key
