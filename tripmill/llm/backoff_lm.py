@@ -32,7 +32,7 @@ MODULUS, REMAINDER = 7, 2
 #: Strength of the smoothing, in pseudo counts.
 MU = 100.0
 #: Tokens that one block holds; a longer text is a block of its own.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 #: Bytes of text for each part of the model.
 PART_BYTES = 32 << 20
 #: Scores are sums of whole billionths, so they do not depend on the order of addition.
@@ -97,9 +97,11 @@ def _coded_block(block: int, rows: list[tuple], parts: int) -> Iterator[dict]:
     words = np.concatenate(tokens)
     train = np.repeat(~np.array(held), lengths)
     vocabulary, coded = np.unique(words, return_inverse=True)
-    word_counts = np.bincount(coded[train], minlength=len(vocabulary)).astype(np.int64)
+    coded = coded.astype(np.uint32)
+    word_counts = np.bincount(coded[train], minlength=len(vocabulary))
     pairs, which = np.unique(pair_keys(_histories(words, lengths), words), return_inverse=True)
-    pair_counts = np.bincount(which[train], minlength=len(pairs)).astype(np.int64)
+    pair_counts = np.bincount(which[train], minlength=len(pairs))
+    del words, which, train
     yield {
         "block": block,
         "part": -1,
@@ -107,7 +109,7 @@ def _coded_block(block: int, rows: list[tuple], parts: int) -> Iterator[dict]:
         "held": list(held),
         "lengths": lengths,
         "vocabulary": _pack_keys(vocabulary),
-        "tokens": _pack(coded.astype(np.uint32)),
+        "tokens": _pack(coded),
         "train_docs": int(len(held) - sum(held)),
     }
     word_cuts, pair_cuts = _cuts(vocabulary, parts), _cuts(pairs, parts)
