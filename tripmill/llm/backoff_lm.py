@@ -14,7 +14,7 @@ totals, and each block then runs the automaton over its texts from left to right
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,17 +32,15 @@ MODULUS, REMAINDER = 7, 2
 #: Strength of the smoothing, in pseudo counts.
 MU = 100.0
 #: Tokens that one block holds; a longer text is a block of its own.
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 1_000_000
 #: Bytes of text for each part of the model.
-PART_BYTES = 32 << 20
+PART_BYTES = 8 << 20
 #: Scores are sums of whole billionths, so they do not depend on the order of addition.
 UNIT = 1e9
 END, START = np.uint64(0), np.uint64(1)
 
-_CODED = (
-    "block long, part int, doc_ids array<long>, held array<boolean>, lengths array<long>, "
-    "vocabulary binary, tokens binary, words binary, word_counts binary, pairs binary, pair_counts binary, train_docs long"
-)
+_TEXTS = "block long, doc_ids array<long>, held array<boolean>, lengths array<long>, vocabulary binary, tokens binary"
+_ASKED = "block long, part int, words binary, word_counts binary, pairs binary, pair_counts binary"
 _ANSWERS = "block long, part int, word_counts binary, pair_counts binary, train_tokens long, known_words long"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
@@ -90,56 +88,48 @@ def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, np.array(bounds, np.uint64)), [len(keys)]]).astype(int)
 
 
-def _coded_block(block: int, rows: list[tuple], parts: int) -> Iterator[dict]:
-    """The block's texts, and for each part of the model its distinct n-grams with training counts."""
+def _texts(block: int, rows: list[tuple]) -> Iterator[list]:
+    """The block's texts as numbers in its own vocabulary."""
     ids, held, tokens = zip(*rows, strict=True)
+    vocabulary, coded = np.unique(np.concatenate(tokens), return_inverse=True)
+    lengths = [len(t) for t in tokens]
+    yield [block, list(ids), list(held), lengths, _pack_keys(vocabulary), _pack(coded.astype(np.uint32))]
+
+
+def _asked(block: int, rows: list[tuple], parts: int) -> Iterator[list]:
+    """For each part of the model the block's distinct n-grams, with their training counts."""
+    _, held, tokens = zip(*rows, strict=True)
     lengths = np.array([len(t) for t in tokens], np.int64)
     words = np.concatenate(tokens)
     train = np.repeat(~np.array(held), lengths)
-    vocabulary, coded = np.unique(words, return_inverse=True)
-    coded = coded.astype(np.uint32)
-    word_counts = np.bincount(coded[train], minlength=len(vocabulary))
-    pairs, which = np.unique(pair_keys(_histories(words, lengths), words), return_inverse=True)
-    pair_counts = np.bincount(which[train], minlength=len(pairs))
-    del words, which, train
-    yield {
-        "block": block,
-        "part": -1,
-        "doc_ids": list(ids),
-        "held": list(held),
-        "lengths": lengths,
-        "vocabulary": _pack_keys(vocabulary),
-        "tokens": _pack(coded),
-        "train_docs": int(len(held) - sum(held)),
-    }
-    word_cuts, pair_cuts = _cuts(vocabulary, parts), _cuts(pairs, parts)
-    for p in range(parts):
-        w, q = slice(*word_cuts[p : p + 2]), slice(*pair_cuts[p : p + 2])
-        if w.start < w.stop or q.start < q.stop:
-            yield {
-                "block": block,
-                "part": p,
-                "words": _pack_keys(vocabulary[w]),
-                "word_counts": _pack(word_counts[w]),
-                "pairs": _pack_keys(pairs[q]),
-                "pair_counts": _pack(pair_counts[q]),
-            }
-
-
-def _code(docs: DataFrame, parts: int) -> DataFrame:
+    pairs = pair_keys(_histories(words, lengths), words)
+    packed = []
+    for keys in (words, pairs):
+        distinct, which = np.unique(keys, return_inverse=True)
+        counts = np.bincount(which[train], minlength=len(distinct))
+        cuts = _cuts(distinct, parts)
+        packed.append([(_pack_keys(distinct[a:b]), _pack(counts[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+    for part, (own_words, own_pairs) in enumerate(zip(*packed, strict=True)):
+        if own_words[0] or own_pairs[0]:
+            yield [block, part, *own_words, *own_pairs]
+
+
+def _blocks(docs: DataFrame, schema: str, code: Callable[[int, list[tuple]], Iterator[list]]) -> DataFrame:
+    """Code the documents block by block.
+
+    A block is a run of rows of one scan task, so both codings of the same input, and a task that
+    is run again, make the same blocks.
+    """
     tokens = F.transform(split_words(lower_ascii(F.col("text")), SPACE), lambda w: F.xxhash64(w))
     rows = docs.select("doc_id", held_out(F.col("doc_id"), MODULUS, REMAINDER).alias("held"), tokens.alias("tokens"))
-
-    schema = to_arrow_schema(StructType.fromDDL(_CODED))
+    fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, waiting, size = 0, [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            block = (TaskContext.get().partitionId() << 32) + made
-            for row in _coded_block(block, waiting, parts):
-                full = {name: [row.get(name)] for name in schema.names}
-                yield pa.RecordBatch.from_pydict(full, schema=schema)
+            for row in code((TaskContext.get().partitionId() << 32) + made, waiting):
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, fields, strict=True)], schema=fields)
 
         for batch in batches:
             ids, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -156,7 +146,7 @@ def _code(docs: DataFrame, parts: int) -> DataFrame:
         if waiting:
             yield from flush()
 
-    return rows.mapInArrow(encode, _CODED)
+    return rows.mapInArrow(encode, schema)
 
 
 def _answer(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
@@ -229,13 +219,12 @@ def lm_scores(docs: DataFrame, mu: float = MU, part_bytes: int = PART_BYTES) ->
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
-    coded = stored(_code(docs, parts), "lm-blocks")
-    asked = coded.filter("part >= 0").select("block", "part", "words", "word_counts", "pairs", "pair_counts")
+    asked = _blocks(docs, _ASKED, lambda block, rows: _asked(block, rows, parts))
     answers = stored(asked.groupBy("part").applyInPandas(_answer, _ANSWERS), "lm-answers")
-    texts = coded.filter("part < 0").select("block", "doc_ids", "held", "lengths", "vocabulary", "tokens")
     tokens, words = answers.agg(F.sum("train_tokens"), F.sum("known_words")).first()
-    train_docs = coded.agg(F.sum("train_docs")).first()[0]
-    model = (tokens or 0, words or 0, train_docs or 0)
+    train_docs = docs.filter(~held_out(F.col("doc_id"), MODULUS, REMAINDER)).count()
+    model = (tokens or 0, words or 0, train_docs)
+    texts = _blocks(docs, _TEXTS, _texts)
 
     def score(own: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         return _score_block(own.iloc[0], replies, model, mu)
