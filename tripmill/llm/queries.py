@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tripmill.llm import backoff_lm, histogram_shard, license_scan, poisson_mix, quality_crf, token_index, toxicity_fm
+from tripmill.llm import ann_scan, backoff_lm, histogram_shard, license_scan, poisson_mix, quality_crf, token_index, toxicity_fm
 from tripmill.llm.common import table
 
 QUERIES = {}
@@ -20,6 +20,12 @@ def op1_quality_crf(spark, sf_dir):
     return quality_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_ann_scan(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann_scan.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 @query
 def op4_license_scan(spark, sf_dir):
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
