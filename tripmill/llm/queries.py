@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tripmill.llm import ann_scan, backoff_lm, histogram_shard, license_scan, poisson_mix, quality_crf, token_index, toxicity_fm
+from tripmill.llm import ann_scan, backoff_lm, histogram_shard, jaccard_join, license_scan, poisson_mix, quality_crf, token_index, toxicity_fm
 from tripmill.llm.common import table
 
 QUERIES = {}
@@ -20,6 +20,11 @@ def op1_quality_crf(spark, sf_dir):
     return quality_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_ann_scan(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
