@@ -246,3 +246,22 @@ def jaccard_join(
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+    """One document of each class of near duplicates, with all its columns.
+
+    The document whose doc_id names the class stays. Rows that repeat its id stay once for each
+    different text. Texts without words are no duplicates and stay, as do rows without ids.
+    """
+    classes = jaccard_join(docs.select("doc_id", "text"), words, threshold)
+    gone = classes.filter("class_id <> doc_id").select("doc_id").distinct()
+    gone = stored(gone.select(F.col("doc_id").alias("_gone")), "near-gone")
+    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    # rows that repeat an id: one of each id and text
+    again = stored(kept.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("doc_id").alias("_again")), "near-again")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
+    rest = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi")
+    return once.unionByName(rest.dropDuplicates(["doc_id", "text"]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tripmill.llm import ann_scan, backoff_lm, histogram_shard, jaccard_join, license_scan, poisson_mix, quality_crf, token_index, toxicity_fm
+from tripmill.llm import ann_scan, backoff_lm, decontaminate, histogram_shard, jaccard_join, license_scan, poisson_mix, quality_crf, token_index, toxicity_fm
 from tripmill.llm.common import table
 
 QUERIES = {}
@@ -51,6 +51,11 @@ def op7_histogram_shard(spark, sf_dir):
     return histogram_shard.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
+@query
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_backoff_lm(spark, sf_dir):
     return backoff_lm.lm_scores(table(spark, sf_dir, "documents"))
