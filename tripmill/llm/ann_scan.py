@@ -28,6 +28,8 @@ TARGET_RECALL = 0.97
 MAX_LISTS = 1_024
 #: Candidates, and queries, that one task holds at a time.
 CANDIDATE_BLOCK, QUERY_BLOCK = 8_192, 4_096
+#: Queries of a block that are compared at a time.
+QUERY_SLAB = 128
 #: Columns of a block, candidates tested at a time, and spreads that the test allows.
 COLUMNS, STRIDE, SPREADS = 16, 512, 3.0
 
@@ -95,13 +97,19 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def _scan(lists: Lists, queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best of a block of candidates for each query, among the lists it probes."""
-    q, x = np.stack(queries["embedding"]).astype(float), np.stack(candidates["vector"]).astype(float)
-    turned_q, turned_x = q @ lists.rotation, x @ lists.rotation
-    norm_q, norm_x = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
+    x = np.stack(candidates["vector"]).astype(float)
+    held = (x, x @ lists.rotation, np.linalg.norm(x, axis=1), candidates["list"].to_numpy(), candidates["candidate"].to_numpy())
+    slabs = [queries.iloc[at : at + QUERY_SLAB] for at in range(0, len(queries), QUERY_SLAB)]
+    return pd.concat([_scan_slab(lists, slab, held, k) for slab in slabs])
+
+
+def _scan_slab(lists: Lists, queries: pd.DataFrame, held: tuple[np.ndarray, ...], k: int) -> pd.DataFrame:
+    x, turned_x, norm_x, own_list, ids = held
+    q = np.stack(queries["embedding"]).astype(float)
+    turned_q, norm_q = q @ lists.rotation, np.linalg.norm(q, axis=1)
     probed = np.zeros((len(q), len(lists.centroids)), bool)
     for i, own in enumerate(queries["probes"]):
         probed[i, own] = True
-    own_list, ids = candidates["list"].to_numpy(), candidates["candidate"].to_numpy()
     width = q.shape[1]
     bar = np.full(len(q), -np.inf)
     best_q, best_id, best_score = np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0)
