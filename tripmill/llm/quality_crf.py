@@ -152,7 +152,9 @@ def fit_chain(texts: list[str], y: np.ndarray, epochs: int = 16, rate: float = 0
     chain = Chain(np.zeros(FEATURES), np.zeros(FEATURES), np.zeros(FEATURES), np.zeros((2, 2)), 0.0, float(_logit(prior)))
     if len(y) == 0 or y.min() == y.max():
         return chain
-    bins, length, counts = line_features(texts)
+    parts_of = [line_features(part) for part in _slices(texts)]
+    bins, length, counts = (np.concatenate(x) for x in zip(*parts_of, strict=True))
+    del parts_of
     starts, _, _ = _ends(counts)
     rng = np.random.default_rng(3)
     theta = np.zeros(3 * FEATURES + 4)

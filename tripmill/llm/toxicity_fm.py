@@ -120,10 +120,14 @@ def fit_machine(rows: list[np.ndarray], y: np.ndarray, epochs: int = 12, rate: f
 def fit_toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Machine:
     """Fit on at most ``bound`` labelled documents that are not held out."""
     ids = label_sample(labels, "toxic", MODULUS, REMAINDER, bound)
-    sample = sampled_texts(docs, ids).select("doc_id", term_ids(F.col("text")).alias("terms")).toArrow().to_pylist()
-    sample.sort(key=lambda r: r["doc_id"])
-    rows = [np.array(r["terms"], np.int64) for r in sample]
-    return fit_machine(rows, np.array([ids[r["doc_id"]] for r in sample], float))
+    sample = sampled_texts(docs, ids).select("doc_id", term_ids(F.col("text")).alias("terms")).toArrow()
+    sample = sample.sort_by("doc_id").combine_chunks()
+    if not len(sample):
+        return fit_machine([], np.zeros(0))
+    terms = sample.column("terms").chunk(0)
+    offsets, flat = terms.offsets.to_numpy(), terms.values.to_numpy()
+    rows = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return fit_machine(rows, np.array([ids[i] for i in sample.column("doc_id").to_pylist()], float))
 
 
 def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
