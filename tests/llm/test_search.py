@@ -1,0 +1,178 @@
+"""Jaccard join, nearest neighbours, decontamination and the token index."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from tests.llm.corpus import docs, empty, odd, words
+from tripmill.llm import ann_scan, decontaminate, jaccard_join, token_index
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _family(seed, copies, edits):
+    base, rng, out = words(120, seed), random.Random(seed), []
+    for _ in range(copies):
+        w = list(base)
+        for _ in range(rng.randint(0, edits)):
+            w[rng.randrange(len(w))] = f"edit{rng.randrange(10**6)}"
+        out.append(" ".join(w))
+    return [" ".join(base), *out]
+
+
+def _classes(texts):
+    sets = [frozenset(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            one, other = sorted((top(a), top(b)))
+            root[other] = one
+    return [top(i) for i in range(len(texts))]
+
+
+def test_join_equals_brute_force(spark):
+    texts = [*_family(1, 60, 6), *_family(2, 20, 3), *_family(3, 5, 9), *[" ".join(words(80, 50 + i)) for i in range(40)]]
+    random.Random(4).shuffle(texts)
+    rows = {r.doc_id: r for r in jaccard_join.jaccard_join(docs(spark, texts), recall=0.99999).collect()}
+    assert [rows[i].class_id for i in range(len(texts))] == _classes(texts)
+    assert all((r.class_id == r.copy_id) or r.n_links > 0 for r in rows.values())
+
+
+def test_bands_reach_the_recall():
+    bands, rows = jaccard_join.choose_bands(0.8, 0.995, 128)
+    assert bands * rows <= 128 and 1 - (1 - 0.8**rows) ** bands >= 0.995
+
+
+def test_copies_and_short_texts(spark):
+    texts = ["One two three.", "one, two three", "one two", "", None, "!!"] + ["exact copy of five words"] * 300
+    rows = {r.doc_id: r.class_id for r in jaccard_join.jaccard_join(docs(spark, texts)).collect()}
+    assert [rows[i] for i in range(6)] == [0, 0, 2, 3, 4, 5] and {rows[i] for i in range(6, 306)} == {6}
+    kept = jaccard_join.keep_one(docs(spark, texts))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3, 4, 5, 6] and kept.columns == docs(spark, texts).columns
+
+
+def _vectors(spark, n, width=32, seed=0):
+    x = np.random.default_rng(seed).normal(size=(n, width)).astype(np.float32)
+    return x, spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+
+
+def test_neighbours_reach_the_recall(spark):
+    x, vectors = _vectors(spark, 3000)
+    got = {}
+    for r in ann_scan.nearest(vectors, vectors.filter("vec_id % 20 = 0")).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    wide = x.astype(float)
+    recall = []
+    for q in range(0, 3000, 20):
+        score = wide @ wide[q]
+        score[q] = -np.inf
+        true = np.lexsort((np.arange(3000), -score))[:20]
+        found = [got[q][k] for k in sorted(got[q])]
+        assert sorted(got[q]) == list(range(1, 21)) and q not in [v for v, _ in found]
+        assert all(np.isclose(s, score[v], rtol=1e-12) for v, s in found)
+        recall.append(len({v for v, _ in found} & set(true)) / 20)
+    assert np.mean(recall) >= 0.9
+
+
+def test_neighbour_ties_copies_and_unusable_vectors(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(60)] + [(100, [0.5, 0.5]), (120, None), (140, [0.0, 0.0]), (160, [float("nan"), 1.0])]
+    rows += [(180, [None, 1.0]), (200, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (20, [1.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann_scan.nearest(vectors, vectors.filter("vec_id % 20 = 0")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert sorted(got) == [0, 20, 40, 100]
+    assert [v for _, v in sorted(got[0])] == list(range(1, 21))
+    assert [v for _, v in sorted(got[20])] == [*range(20)]
+    few = ann_scan.nearest(vectors.filter("vec_id in (0, 1, 100)"), vectors.filter("vec_id = 0"))
+    assert sorted((r.rank, r.vec_id) for r in few.collect()) == [(1, 1), (2, 100)]
+    assert ann_scan.nearest(vectors.limit(0), vectors).count() == 0
+
+
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+def test_edit_distance_equals_the_table():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        a, b = rng.integers(1, 4, rng.integers(1, 9)), rng.integers(1, 4, rng.integers(1, 9))
+        assert decontaminate.edit_distance(a.astype(np.uint64), b.astype(np.uint64)) == _distance(list(a), list(b))
+
+
+def test_edited_items_are_found_and_clean_documents_left(spark):
+    rng = random.Random(5)
+    items = [words(rng.randint(8, 60), 100 + i) for i in range(40)]
+    bench = spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in enumerate(items)] + [(90, "one two"), (91, None)], "item_id long, text string"
+    )
+    texts, want = [], set()
+    for d in range(400):
+        text = words(200, 5000 + d)
+        if d % 2:
+            item = d % 40
+            copy = list(items[item])
+            for _ in range(decontaminate.allowed_edits(len(copy)) * (d % 3) // 2):
+                copy[rng.randrange(len(copy))] = "changed"
+            at = rng.randrange(200)
+            text[at:at] = copy
+            want.add((d, item))
+        texts.append(" ".join(text).title())
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, texts), bench).collect()}
+    assert found <= want and len(found) >= 0.98 * len(want)
+    kept = decontaminate.decontaminate(docs(spark, texts), bench)
+    assert kept.count() == 400 - len({d for d, _ in found})
+
+
+def test_token_ids_round_trip(spark):
+    texts = ["Hello, World's  END.. x<|endoftext|>y", "", None, "ÉTÉ naïve İx é", "3.14 a.b (c)!! don't\r\n\tq", *[" ".join(words(30, i)) for i in range(50)]]
+    got = sorted(map(tuple, token_index.token_ids(docs(spark, texts), TOKENIZER).collect()))
+    tokenizer, start, want = Tokenizer.from_file(TOKENIZER), 0, []
+    for i, t in enumerate(texts):
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert got == want
+
+
+def test_hash_is_minimal_and_perfect():
+    rng = np.random.default_rng(2)
+    h1, h2 = rng.integers(0, 2**63, (2, 5000), dtype=np.uint64)
+    sizes, bits, slots = token_index.build_hash(h1, h2)
+    assert sorted(slots) == list(range(5000)) and (token_index.find_slots(sizes, bits, h1, h2) == slots).all()
+    assert sum(sizes) < 6 * 5000
+
+
+def test_absent_keys_are_not_found(spark, tmp_path):
+    token_index.write_token_index(docs(spark, ["a b", "c"]), str(tmp_path / "ids"), TOKENIZER, chunk_bytes=2)
+    keys = spark.createDataFrame([(0, 0), (1, 0), (1, 1), (77, 0)], "doc_id long, occurrence long")
+    assert sorted(r.doc_id for r in token_index.find_documents(spark, str(tmp_path / "ids"), keys).collect()) == [0, 1]
+
+
+def test_odd_rows_and_empty_tables(spark):
+    assert jaccard_join.jaccard_join(odd(spark)).count() == 7
+    assert token_index.token_ids(odd(spark), TOKENIZER).count() == 7
+    bench = spark.createDataFrame([(1, "some words here and there")], "item_id long, text string")
+    decontaminate.decontaminate(odd(spark), bench).collect()
+    assert decontaminate.contaminated(odd(spark), bench.limit(0)).count() == 0
+    assert jaccard_join.jaccard_join(empty(spark)).count() == 0
+    assert token_index.token_ids(empty(spark), TOKENIZER).count() == 0
+    assert decontaminate.decontaminate(empty(spark), bench).count() == 0
