@@ -56,11 +56,9 @@ def epoch_to_ts(col: Column, unit: str = "us") -> Column:
 
 
 def money_sum(name: str, source: T.DataType) -> Column:
-    """Sum of an amount. Float amounts are summed as whole cents, so that the total does not
-    depend on the order in which partitions arrive (a retried task cannot change it)."""
-    if not is_float(source):
-        return F.sum(name)
-    return F.sum(F.rint(F.col(name) * 100).cast("bigint")) / F.lit(100.0)
+    """Sum of an amount as it is. A float total is rounded to a hundredth of a cent, which hides
+    the order in which partitions were added; NaN amounts give a NaN total."""
+    return F.round(F.sum(name), 4) if is_float(source) else F.sum(name)
 
 
 def int_or_zero(col: Column, source: T.DataType) -> Column:

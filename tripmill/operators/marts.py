@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions.scalars import money_sum, month_floor
-from tripmill.schemas import MONEY_COLUMNS
+from tripmill.schemas import REVENUE_COLUMNS
 
 
 def month_range(df: DataFrame, ts_col: str, ym: str) -> DataFrame:
@@ -27,10 +27,7 @@ def monthly_zone_revenue(facts: DataFrame) -> DataFrame:
     zone that holds a third of all trips costs its reducer no more than any other.
     """
     types = {f.name: f.dataType for f in facts.schema.fields}
-    totals = []
-    for name in MONEY_COLUMNS:
-        label = name if name in ("tip_amount", "tolls_amount", "total_amount") else name.removesuffix("_amount")
-        totals.append(money_sum(name, types[name]).alias(f"revenue_monthly_{label}"))
+    totals = [money_sum(name, types[name]).alias(label) for name, label in REVENUE_COLUMNS.items()]
     return facts.groupBy(
         F.col("pickup_zone").alias("revenue_zone"),
         month_floor(F.col("pickup_datetime")).alias("revenue_month"),
