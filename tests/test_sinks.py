@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trips import raw
 
 from tripmill.schemas import TRIP_STATS, TRIP_STATS_KEY
-from tripmill.session import fit_shuffle, input_bytes, scratch_dir
+from tripmill.session import scratch_dir
 from tripmill.sinks import keyed, tables
 
 PICKUP = "tpep_pickup_datetime"
@@ -143,18 +143,14 @@ def test_scratch_lies_in_the_named_folder(spark):
     assert first.startswith(base) and first != second
 
 
-def test_shuffle_width_follows_the_input(spark, tmp_path, conf, monkeypatch):
-    import tripmill.session as session
+def test_a_new_checkpoint_adds_to_the_log(spark, tmp_path, changes):
+    path = str(tmp_path / "log")
+    first = keyed.upsert_writer(path)
+    first(changes(("1", 5), ("2", 1)), 0)
+    first(changes(("1", 7)), 1)
+    keyed.upsert_writer(path)(changes(("1", 9)), 0)
+    assert state(spark, path) == {"1": 9, "2": 1}
 
-    out = str(tmp_path / "t")
-    spark.range(1000).write.parquet(out)
-    assert input_bytes(spark, out) > 0
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert fit_shuffle(spark, out) == 8 and spark.conf.get(key, None) is None
-    monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 100)
-    wanted = fit_shuffle(spark, out)
-    assert wanted == -(-input_bytes(spark, out) // 100) and spark.conf.get(key) == str(wanted)
-    monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 10**9)
-    assert fit_shuffle(spark, out) == 8 and spark.conf.get(key, None) is None
-    conf(key, "500")
-    assert fit_shuffle(spark, out) == 500 and spark.conf.get(key) == "500"  # the user's own setting stays
+
+def test_an_empty_log_has_no_rows(spark, tmp_path):
+    assert state(spark, str(tmp_path / "nothing")) == {}

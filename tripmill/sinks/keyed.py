@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,12 +14,14 @@ from pyspark.sql import types as T
 def upsert_writer(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores each batch's changed rows in its own folder.
 
-    A batch that is replayed after a failure overwrites its own folder, so every change counts
-    once.
+    Folders are named by run and batch. Runs are ordered by the time at which they start, so a new
+    checkpoint, whose batches count from 0 again, adds to the log and overwrites nothing. A batch
+    that a later run replays is stored again and counts once, because a key's newest row wins.
     """
+    run = time.time_ns()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
     return write
 
@@ -27,12 +31,21 @@ def current_rows(
 ) -> DataFrame:
     """The newest row of every key. Changes are reduced per task before they are shuffled.
 
-    A batch holds a key at most once, so all columns of a key come from the same row.
+    A batch holds a key at most once, so all columns of a key come from the same row. A log that
+    nothing was written to has no rows.
     """
-    log_schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    changes = spark.read.schema(log_schema).option("basePath", path).parquet(path)
+    log_schema = T.StructType(
+        [*schema.fields, T.StructField("run", T.LongType()), T.StructField("batch_id", T.LongType())]
+    )
+    try:
+        changes = spark.read.schema(log_schema).option("basePath", path).parquet(path)
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" not in str(err):
+            raise
+        return spark.createDataFrame([], schema)
     values = [c for c in schema.names if c not in keys]
-    newest = changes.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
+    when = F.struct("run", "batch_id")
+    newest = changes.groupBy(*keys).agg(*[F.max_by(c, when).alias(c) for c in values])
     return newest.select(*schema.names)
 
 
@@ -40,4 +53,4 @@ def compact(
     spark: SparkSession, path: str, out: str, schema: T.StructType, keys: Sequence[str]
 ) -> None:
     """Write the newest rows as one change folder of a new log, to keep the log short."""
-    current_rows(spark, path, schema, keys).write.mode("overwrite").parquet(f"{out}/batch_id=-1")
+    current_rows(spark, path, schema, keys).write.mode("overwrite").parquet(f"{out}/run=0/batch_id=0")

@@ -29,9 +29,10 @@ def with_event_time(stream: DataFrame, ts_col: str, lateness: str | None = "0 se
     """Make a column usable as event time: zoned timestamp, and a watermark unless ``None``.
 
     Rows older than the newest seen time minus ``lateness`` are dropped once their window has
-    closed; raise it where files do not arrive in time order.
+    closed; raise it where files do not arrive in time order. Text that is no time becomes null,
+    and null times are in no window.
     """
-    timed = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    timed = stream.withColumn(ts_col, F.col(ts_col).try_cast("timestamp"))
     return timed.withWatermark(ts_col, lateness) if lateness is not None else timed
 
 
