@@ -211,3 +211,19 @@ def test_ingest_checks_volume(spark, month_folder, tmp_path):
         spark, "Yellow", month_folder, MONTHS, out, [Volume("Yellow", PICKUP, "2019-01", 3)], skip_checks=True
     )
     assert again.count() == 4
+
+
+def test_every_footer_of_a_month_counts(spark, tmp_path):
+    base = str(tmp_path / "ym=2019-01")
+    spark.sql("select 1 as a").write.parquet(base)
+    spark.sql("select 2 as a, 0.5D as airport_fee").write.mode("append").parquet(base)
+    merged = align.merge_months(spark, str(tmp_path) + "/ym={ym}", ["2019-01", "2019-02"])
+    assert sorted((r.a, r.airport_fee) for r in merged.fillna(-1.0).collect()) == [(1, -1.0), (2, 0.5)]
+
+
+def test_files_of_a_month_may_differ_in_type(spark, tmp_path):
+    base = str(tmp_path / "ym=2019-01")
+    spark.sql("select 1 as a").write.parquet(base)
+    spark.sql("select 2.5D as a").write.mode("append").parquet(base)
+    merged = align.merge_months(spark, str(tmp_path) + "/ym={ym}", ["2019-01"])
+    assert sorted(r.a for r in merged.collect()) == [1.0, 2.5]

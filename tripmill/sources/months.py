@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,13 +26,18 @@ class MonthFile:
     schema: T.StructType
 
 
-def _footer(spark: SparkSession, ym: str, path: str) -> MonthFile | None:
+def _footers(spark: SparkSession, ym: str, path: str) -> list[MonthFile]:
+    """A month with the schema of all its files, or its files one by one where their types differ."""
     try:
-        return MonthFile(ym, path, spark.read.parquet(path).schema)
-    except AnalysisException as err:
+        return [MonthFile(ym, path, spark.read.option("mergeSchema", True).parquet(path).schema)]
+    except (PySparkException, Py4JJavaError) as err:  # the second is what a failed merge comes as
         if "PATH_NOT_FOUND" in str(err):
-            return None
-        raise
+            return []
+        if "CANNOT_MERGE" not in str(err):
+            raise
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    files = sorted(r.path for r in names.collect())
+    return [MonthFile(ym, f, spark.read.parquet(f).schema) for f in files]
 
 
 def month_files(spark: SparkSession, template: str, months: Sequence[str]) -> list[MonthFile]:
@@ -42,12 +48,13 @@ def month_files(spark: SparkSession, template: str, months: Sequence[str]) -> li
     footers are read; the work here grows with the number of months, not with the rows.
     """
     with ThreadPoolExecutor(max_workers=16) as pool:
-        found = pool.map(lambda ym: _footer(spark, ym, template.format(ym=ym)), months)
-        files = [f for f in found if f is not None]
+        files = [f for found in pool.map(lambda ym: _footers(spark, ym, template.format(ym=ym)), months) for f in found]
     if not files:
         raise FileNotFoundError(f"no Parquet month matches {template!r}")
-    if len(files) < min(EXPECTED_MONTHS_WARNING, len(months)):
-        log.warning("only %d of %d months found for %s", len(files), len(months), template)
+    there = {f.ym for f in files}
+    if len(there) < min(EXPECTED_MONTHS_WARNING, len(months)):
+        absent = [ym for ym in months if ym not in there]
+        log.warning("only %d of %d months found for %s, without %s", len(there), len(months), template, ", ".join(absent))
     return files
 
 
