@@ -263,7 +263,9 @@ def test_mart_filters(mart):
 
 def test_months_by_year(mart):
     rows = serving.month_by_year(marts.citywide_monthly(mart), [2019, 2020]).orderBy("trip_month").collect()
-    assert [tuple(r) for r in rows] == [(1, 7, 12), (2, 1, None)]
+    assert [tuple(r) for r in rows] == [(1, 7, 12, None), (2, 1, None, None)]
+    other = serving.month_by_year(marts.citywide_monthly(mart), [2019]).orderBy("trip_month").collect()
+    assert [tuple(r) for r in other] == [(1, 7, 12), (2, 1, None)]  # years not listed are kept
 
 
 def test_year_over_year(mart):

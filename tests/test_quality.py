@@ -90,3 +90,14 @@ def test_month_coverage(spark):
     calendar = spark.createDataFrame([("2019-01",), ("2019-02",), ("2019-03",), ("2019-04",)], "ym string")
     missing = months.missing_months(calendar, observed)
     assert sorted(r.ym for r in missing.collect()) == ["2019-02", "2019-04"]
+
+
+def test_volume_checks_open_the_days_of_their_month(spark, tmp_path):
+    out = str(tmp_path / "t")
+    rows = spark.sql("select timestamp_ntz '2019-03-05 10:00:00' as t, date '2019-03-05' as pickup_date")
+    rows.write.partitionBy("pickup_date").parquet(out)
+    table = spark.read.schema("t timestamp_ntz, pickup_date date").parquet(out)
+    checked = quality.volume_checks({"Yellow": table}, [quality.Volume("Yellow", "t", "2019-03", 1)])
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "pickup_date" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert checked.first().passed

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.operators.marts import month_range
+from tripmill.sinks.tables import DAY_COLUMN
 
 
 @dataclass(frozen=True)
@@ -116,6 +117,9 @@ def volume_checks(tables: dict[str, DataFrame], checks: Sequence[Volume]) -> Dat
     parts = []
     for v in checks:
         month = month_range(tables[v.table], v.ts_col, v.ym)
+        if DAY_COLUMN in month.columns:  # opens the files of the month's days only
+            first = F.lit(f"{v.ym}-01").cast("date")
+            month = month.where((F.col(DAY_COLUMN) >= first) & (F.col(DAY_COLUMN) < F.add_months(first, 1)))
         parts.append(
             month.agg(F.count("*").alias("row_count")).select(
                 F.lit(v.table).alias("table_name"),

@@ -50,9 +50,10 @@ def service_share(totals: DataFrame) -> DataFrame:
 
 
 def month_by_year(citywide: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Trips per calendar month with one column per year (``y2019`` ...)."""
-    wide = citywide.groupBy("trip_month").pivot("trip_year", list(years)).agg(F.sum("trips"))
-    return wide.select("trip_month", *[F.col(str(y)).alias(f"y{y}") for y in years])
+    """Trips per calendar month with one column per year (``y2019`` ...) and one for all others."""
+    per_year = [F.sum(F.when(F.col("trip_year") == y, F.col("trips"))).alias(f"y{y}") for y in years]
+    others = F.sum(F.when(~F.col("trip_year").isin(list(years)), F.col("trips"))).alias("other_years")
+    return citywide.groupBy("trip_month").agg(*per_year, others)
 
 
 def yoy_monthly(citywide: DataFrame) -> DataFrame:

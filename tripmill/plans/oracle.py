@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tripmill.operators.quality import NotNull, Unique, model_checks
-from tripmill.schemas import ID_COLUMNS, MONEY_COLUMNS, PASSED_COLUMNS, SERVICES
+from tripmill.schemas import ID_COLUMNS, MONEY_COLUMNS, PASSED_COLUMNS, REVENUE_COLUMNS, SERVICES
 from tripmill.sources.testtables import DRIFT_YEARS, STATUS, ZONE_IDS
 
 _RAW_COLUMNS = {
@@ -73,24 +73,13 @@ _FACTS = f"""
                  join zones d on t.dropoff_locationid = d.locationid
 """
 
-_LABELS = {
-    "fare_amount": "revenue_monthly_fare",
-    "extra": "revenue_monthly_extra",
-    "mta_tax": "revenue_monthly_mta_tax",
-    "tip_amount": "revenue_monthly_tip_amount",
-    "tolls_amount": "revenue_monthly_tolls_amount",
-    "improvement_surcharge": "revenue_monthly_improvement_surcharge",
-    "total_amount": "revenue_monthly_total_amount",
-}
-
-
 def _dec_sum(column: str, alias: str) -> str:
-    return f"cast(sum(cast({column} as decimal(18,2))) as double) as {alias}"
+    return f"round(sum(cast({column} as double)), 4) as {alias}"
 
 
 _MART = f"""
     select pickup_zone as revenue_zone, cast(date_trunc('month', pickup_datetime) as timestamp) as revenue_month,
-           service_type, {', '.join(_dec_sum(c, _LABELS[c]) for c in MONEY_COLUMNS)},
+           service_type, {', '.join(_dec_sum(c, label) for c, label in REVENUE_COLUMNS.items())},
            count(tripid) as total_monthly_trips, avg(passenger_count) as avg_monthly_passenger_count,
            avg(trip_distance) as avg_monthly_trip_distance
     from facts group by 1, 2, 3
@@ -232,12 +221,24 @@ def _check(check) -> str:
 
 def _simple_checks(kind: str, columns: dict[str, str]) -> str:
     return " union all ".join(
-        f"select '{kind}' as check_name, 'yellow' as table_name, '{c}' as column_name, "
-        f"count(*) filter ({bad}) as violations from raw_yellow"
+        f"select '{kind}' as check_name, '{table}' as table_name, '{c}' as column_name, "
+        f"count(*) filter ({bad}) as violations from raw_{table}"
+        for table in ("yellow", "green")
         for c, bad in columns.items()
     )
 
 
+def _both(select: str) -> str:
+    """A select for each service, with {raw}, {pickup} and the service's name filled in."""
+    return _with(
+        " union all ".join(
+            select.format(raw=f"raw_{s.lower()}", pickup=p, service=s) for s, (p, _) in SERVICES.items()
+        ),
+        "raw_yellow",
+        "raw_green",
+    )
+
+
 def _volume(service: str, minimum: int) -> str:
     pickup = SERVICES[service][0]
     return (
@@ -249,7 +250,7 @@ def _volume(service: str, minimum: int) -> str:
 
 _PIVOT = ", ".join(
     f"cast(sum(trips) filter (trip_year = {y}) as bigint) as y{y}" for y in range(1995, 2002)
-)
+) + ", cast(sum(trips) filter (trip_year not between 1995 and 2001) as bigint) as other_years"
 
 ORACLE: dict[str, str] = {
     # sources and ingest
@@ -303,7 +304,7 @@ ORACLE: dict[str, str] = {
         """
         select strftime(tpep_pickup_datetime, '%Y-%m-%d') as day, count(*) as trips,
                cast(sum(passenger_count) as bigint) as passengers
-        from raw_yellow where year(tpep_pickup_datetime) = 1998 group by 1
+        from raw_yellow group by 1
         """,
         "raw_yellow",
     ),
@@ -327,27 +328,32 @@ ORACLE: dict[str, str] = {
         "trips",
     ),
     "join_pickup_zone": _with(
-        """
-        select "PULocationID" as pickup_locationid, borough as pickup_borough, zone as pickup_zone,
-               tpep_pickup_datetime, fare_amount
-        from raw_yellow join zones on "PULocationID" = locationid
-        """,
+        " union all ".join(
+            f"""select '{s}' as service_type, "PULocationID" as pickup_locationid, borough as pickup_borough,
+               zone as pickup_zone, {p} as pickup, fare_amount
+            from raw_{s.lower()} join zones on "PULocationID" = locationid"""
+            for s, (p, _) in SERVICES.items()
+        ),
         "raw_yellow",
+        "raw_green",
         "zones",
     ),
     "join_role_playing": _with(
         """
         select p.zone as pickup_zone, d.zone as dropoff_zone, d.borough as dropoff_borough, count(*) as trips
-        from raw_yellow join zones p on "PULocationID" = p.locationid join zones d on "DOLocationID" = d.locationid
+        from (select "PULocationID", "DOLocationID" from raw_yellow union all
+              select "PULocationID", "DOLocationID" from raw_green) t
+        join zones p on "PULocationID" = p.locationid join zones d on "DOLocationID" = d.locationid
         group by 1, 2, 3
         """,
         "raw_yellow",
+        "raw_green",
         "zones",
     ),
     "unmatched_zones": _with(
         " union all ".join(
             f"select service_type, '{role}' as role, count(*) as dropped_trips from trips "
-            f"where {role}_locationid not in (select locationid from zones) group by service_type"
+            f"where not exists (select 1 from zones where locationid = {role}_locationid) group by service_type"
             for role in ("pickup", "dropoff")
         ),
         "trips",
@@ -394,12 +400,9 @@ ORACLE: dict[str, str] = {
         """,
         "citywide",
     ),
-    "month_filter_count": _with(
-        """
-        select count(*) as c from raw_yellow
-        where extract(year from tpep_pickup_datetime) = 1999 and extract(month from tpep_pickup_datetime) = 3
-        """,
-        "raw_yellow",
+    "month_filter_count": _both(
+        """select '{service}' as service_type, count(*) as c from {raw}
+        where extract(year from {pickup}) = 1999 and extract(month from {pickup}) = 3"""
     ),
     "warehouse_build": _with("select * from citywide", "citywide"),
     # data quality
@@ -408,10 +411,11 @@ ORACLE: dict[str, str] = {
             "not_null",
             {
                 c: f'"{c}" is null'
-                for c in ("VendorID", "tpep_pickup_datetime", "PULocationID", "congestion_surcharge")
+                for c in ("VendorID", "PULocationID", "congestion_surcharge")
             },
         ),
         "raw_yellow",
+        "raw_green",
     ),
     "dq_accepted_values": _with(
         _simple_checks(
@@ -419,14 +423,15 @@ ORACLE: dict[str, str] = {
             {"VendorID": '"VendorID" not in (1, 2)', "payment_type": "payment_type not in (1, 2, 3)"},
         ),
         "raw_yellow",
+        "raw_green",
     ),
     "dq_unique": _with(
         "select tripid, count(*) as c from trips where tripid is not null group by tripid having count(*) > 1",
         "trips",
     ),
-    "grain_violations": _with(
-        'select "VendorID", lpep_pickup_datetime, count(*) as c from raw_green group by 1, 2 having count(*) > 1',
-        "raw_green",
+    "grain_violations": _both(
+        """select '{service}' as service_type, "VendorID", {pickup} as pickup, count(*) as c
+        from {raw} group by 2, 3 having count(*) > 1"""
     ),
     "mart_grain": _with(
         """
@@ -497,5 +502,11 @@ ORACLE: dict[str, str] = {
         "select * from windows where window_end <= (select date_trunc('millisecond', max(ts)) from events)",
         "windows",
     ),
+    "stream_quarantine": f"""
+        select case when l_linenumber = 6 then 'malformed' when l_linenumber = 7 then 'no time' else 'counted' end
+                 as outcome, count(*) as messages
+        from lineitem where l_linestatus = '{STATUS["Green"]}' group by 1
+    """,
+    "stream_two_runs": _with("select * from windows", "windows"),
     "tumble_proctime": "select event_type as vendor_id, count(*) as trip_count from events group by 1",
 }

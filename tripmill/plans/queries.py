@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from tripmill.functions.calendar import month_calendar
 from tripmill.operators import align, core, flatten, marts, quality, serving, staging
 from tripmill.plans import archive, warehouse
 from tripmill.plans.ingest import ingest_service, load_types
-from tripmill.plans.live_stats import trip_stats
+from tripmill.plans.live_stats import rejected, trip_stats
 from tripmill.schemas import SERVICES, TRIP_STATS, TRIP_STATS_KEY
 from tripmill.session import prepare, scratch_dir
 from tripmill.sinks import keyed, tables
@@ -33,12 +32,11 @@ VOLUMES = [
 
 
 def query(*inputs: str):
-    """Register a query; the named tables size its shuffles."""
+    """Register a query over the named tables."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            prepare(spark, *[f"{sf_dir}/{t}.parquet" for t in inputs])
-            return fn(spark, sf_dir)
+            return fn(prepare(spark), sf_dir)
 
         QUERIES[fn.__name__] = run
         return run
@@ -50,6 +48,15 @@ def _raw(spark, sf_dir):
     return {s: testtables.raw_trips(spark, sf_dir, s) for s in SERVICES}
 
 
+def _both(spark, sf_dir):
+    """Raw trips of both services, with the service and the pickup time under one name."""
+    parts = [
+        df.withColumn("service_type", F.lit(s)).withColumnRenamed(SERVICES[s][0], "pickup").drop(SERVICES[s][1])
+        for s, df in _raw(spark, sf_dir).items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def _staged(spark, sf_dir):
     return {s: staging.stage_trips(df, s) for s, df in _raw(spark, sf_dir).items()}
 
@@ -179,12 +186,11 @@ def profile_years(spark, sf_dir):
 
 @query("lineitem")
 def partitioned_write(spark, sf_dir):
-    """Months merged into the day-partitioned, clustered raw table; one year read back by date."""
+    """Months merged into the day-partitioned, clustered raw table; all days read back."""
     template, keys = testtables.drifting_months(spark, sf_dir)
     out = scratch_dir(spark, "raw-yellow")
     loaded = ingest_service(spark, "Yellow", template, keys, out, VOLUMES, skip_checks=True)
-    year = tables.between_dates(loaded, "tpep_pickup_datetime", date(1998, 1, 1), date(1999, 1, 1))
-    return year.groupBy(F.col(tables.DAY_COLUMN).cast("string").alias("day")).agg(
+    return loaded.groupBy(F.col(tables.DAY_COLUMN).cast("string").alias("day")).agg(
         F.count("*").alias("trips"),
         F.sum("passenger_count").cast("bigint").alias("passengers"),
     )
@@ -234,17 +240,16 @@ def union_services(spark, sf_dir):
 
 @query("lineitem", "nation", "region")
 def join_pickup_zone(spark, sf_dir):
-    trips = testtables.raw_trips(spark, sf_dir, "Yellow")
-    trips = trips.withColumnRenamed("PULocationID", "pickup_locationid")
+    trips = _both(spark, sf_dir).withColumnRenamed("PULocationID", "pickup_locationid")
     dim = core.dim_zones(testtables.zone_seed(spark, sf_dir))
     return core.join_zone(trips, dim, "pickup").select(
-        "pickup_locationid", "pickup_borough", "pickup_zone", "tpep_pickup_datetime", "fare_amount"
+        "service_type", "pickup_locationid", "pickup_borough", "pickup_zone", "pickup", "fare_amount"
     )
 
 
 @query("lineitem", "nation", "region")
 def join_role_playing(spark, sf_dir):
-    trips = testtables.raw_trips(spark, sf_dir, "Yellow").withColumnsRenamed(
+    trips = _both(spark, sf_dir).withColumnsRenamed(
         {"PULocationID": "pickup_locationid", "DOLocationID": "dropoff_locationid"}
     )
     dim = core.dim_zones(testtables.zone_seed(spark, sf_dir))
@@ -313,8 +318,12 @@ def yoy_monthly(spark, sf_dir):
 
 @query("lineitem")
 def month_filter_count(spark, sf_dir):
-    trips = testtables.raw_trips(spark, sf_dir, "Yellow")
-    return marts.count_rows(marts.month_range(trips, "tpep_pickup_datetime", "1999-03"))
+    """Trips of one month, by service."""
+    counts = [
+        marts.count_rows(marts.month_range(df, SERVICES[s][0], "1999-03")).withColumn("service_type", F.lit(s))
+        for s, df in _raw(spark, sf_dir).items()
+    ]
+    return counts[0].unionByName(counts[1])
 
 
 @query("lineitem", "nation", "region")
@@ -335,19 +344,22 @@ def _build(spark, sf_dir):
 
 @query("lineitem")
 def dq_not_null(spark, sf_dir):
-    raw = testtables.raw_trips(spark, sf_dir, "Yellow")
-    columns = ["VendorID", "tpep_pickup_datetime", "PULocationID", "congestion_surcharge"]
-    return quality.column_checks(raw, [quality.NotNull("yellow", c) for c in columns])
+    columns = ["VendorID", "PULocationID", "congestion_surcharge"]
+    parts = [
+        quality.column_checks(df, [quality.NotNull(s.lower(), c) for c in columns])
+        for s, df in _raw(spark, sf_dir).items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query("lineitem")
 def dq_accepted_values(spark, sf_dir):
-    raw = testtables.raw_trips(spark, sf_dir, "Yellow")
-    checks = [
-        quality.Accepted("yellow", "VendorID", (1, 2)),
-        quality.Accepted("yellow", "payment_type", (1, 2, 3)),
+    accepted = {"VendorID": (1, 2), "payment_type": (1, 2, 3)}
+    parts = [
+        quality.column_checks(df, [quality.Accepted(s.lower(), c, v) for c, v in accepted.items()])
+        for s, df in _raw(spark, sf_dir).items()
     ]
-    return quality.column_checks(raw, checks)
+    return parts[0].unionByName(parts[1])
 
 
 @query("lineitem")
@@ -359,8 +371,7 @@ def dq_unique(spark, sf_dir):
 @query("lineitem")
 def grain_violations(spark, sf_dir):
     """Raw trips that repeat a vendor and pickup time."""
-    raw = testtables.raw_trips(spark, sf_dir, "Green")
-    return quality.grain_violations(raw, ["VendorID", "lpep_pickup_datetime"])
+    return quality.grain_violations(_both(spark, sf_dir), ["service_type", "VendorID", "pickup"])
 
 
 @query("lineitem", "nation", "region")
@@ -482,16 +493,48 @@ def stream_json_parse(spark, sf_dir):
 def stream_replay(spark, sf_dir):
     """Published trips replayed a file at a time and counted per vendor and window."""
     topic = topics.file_topic(spark, _published_trips(spark, sf_dir), files_per_batch=4)
-    return _run_upsert(spark, trip_stats(topic, event_time="lpep_pickup_datetime", lateness=None))
+    return _run_upsert(spark, trip_stats(topic, event_time="lpep_pickup_datetime", lateness="3650 days"))
 
 
 @query("events")
 def stream_upsert(spark, sf_dir):
     """Counts of all windows, open ones included, kept current by key."""
-    stream = windows.with_event_time(testtables.event_stream(spark, sf_dir), "ts", None)
+    stream = windows.with_event_time(testtables.event_stream(spark, sf_dir), "ts", "30 days")
     return _run_upsert(spark, windows.tumbling_counts(stream, "ts"))
 
 
+@query("events")
+def stream_two_runs(spark, sf_dir):
+    """Counts kept by key over two checkpoints in turn: the second adds to the log of the first."""
+    out = scratch_dir(spark, "upserts")
+    for _ in range(2):
+        stream = windows.with_event_time(testtables.event_stream(spark, sf_dir), "ts", "30 days")
+        counts = windows.tumbling_counts(stream, "ts")
+        live.upsert_open(counts, out, scratch_dir(spark, "offsets"), available_now=True).awaitTermination()
+    return keyed.current_rows(spark, out, TRIP_STATS, TRIP_STATS_KEY)
+
+
+@query("lineitem")
+def stream_quarantine(spark, sf_dir):
+    """A topic with broken texts and trips without a time: what is counted and what is kept apart."""
+    trips = testtables.raw_trips(spark, sf_dir, "Green")
+    no_time = F.col("passenger_count") == 7
+    pickup = F.when(~no_time, F.col("lpep_pickup_datetime"))
+    texts = messages.trip_payload(trips.withColumn("lpep_pickup_datetime", pickup))
+    broken = F.col("value").contains('"passenger_count":6')
+    texts = texts.select(F.when(broken, F.expr("left(value, 40)")).otherwise(F.col("value")).alias("value"))
+    out = scratch_dir(spark, "topic")
+    topics.publish_files(texts, out)
+    counts = trip_stats(topics.file_topic(spark, out), "lpep_pickup_datetime", "3650 days", quarantine=True)
+    counted = _run_upsert(spark, counts).agg(F.sum("trip_count").alias("messages"))
+    apart = _run_append(spark, rejected(topics.file_topic(spark, out), "lpep_pickup_datetime"))
+    return (
+        apart.groupBy(F.col("reason").alias("outcome"))
+        .agg(F.count("*").alias("messages"))
+        .unionByName(counted.select(F.lit("counted").alias("outcome"), "messages"))
+    )
+
+
 @query("events")
 def stream_closed_windows(spark, sf_dir):
     """Counts appended once per window, when the watermark has passed its end."""

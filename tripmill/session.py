@@ -1,4 +1,4 @@
-"""Session settings, shared scratch folder and shuffle sizing."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -21,11 +17,6 @@ _SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
-_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-_sizes: dict[str, int] = {}
-_raised: dict[str, str] = {}
-
 
 def build_session(app: str = "tripmill", master: str | None = None, **conf: str) -> SparkSession:
     """Start a session with the engine's defaults; keyword arguments override them."""
@@ -37,39 +28,12 @@ def build_session(app: str = "tripmill", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def prepare(spark: SparkSession, *paths: str) -> SparkSession:
-    """Pin what results depend on (UTC) and give big inputs enough shuffle partitions."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Pin what results depend on (UTC); the width of shuffles is the session's own."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if paths:
-        fit_shuffle(spark, *paths)
     return spark
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Stored size of a file or folder, from the listing alone (no file content is read)."""
-    if path not in _sizes:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        _sizes[path] = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    return _sizes[path]
-
-
-def fit_shuffle(spark: SparkSession, *paths: str) -> int:
-    """Raise AQE's starting partition count to match the input; never lower what is set.
-
-    AQE merges partitions that turn out small, but it cannot add any, so a low starting count
-    is what hurts a large input.
-    """
-    total = sum(input_bytes(spark, p) for p in paths)
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-total // TARGET_PARTITION_BYTES))
-    if spark.conf.get(_INITIAL, None) == _raised.get(spark.sparkContext.applicationId):
-        spark.conf.unset(_INITIAL)  # set here for an earlier input, not by the user
-    current = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set(_INITIAL, str(wanted))
-        _raised[spark.sparkContext.applicationId] = str(wanted)
-    return max(wanted, current)
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder that every executor can reach.
 
