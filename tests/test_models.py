@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from trips import raw, zones
 
 from tripmill.operators import core, marts, serving, staging
-from tripmill.plans.warehouse import build_models, facts
+from tripmill.plans.warehouse import ChecksFailed, build_and_check, build_models, facts
 from tripmill.sources.zones import read_zone_seed
 
 STAGED = [
@@ -316,3 +316,13 @@ def test_models_are_stored_by_layer(spark):
     }
     build_models(spark, two_services(spark), zones(spark), "layer_test")  # rebuilding replaces
     assert spark.table("layer_test.fact_trips").count() == 4
+
+
+def test_a_failing_check_stops_the_build(spark):
+    raw_trips = two_services(spark)
+    bad = {s: df.withColumn("VendorID", F.lit(9).cast("bigint")) for s, df in raw_trips.items()}
+    with pytest.raises(ChecksFailed, match="accepted_values"):
+        build_and_check(spark, bad, zones(spark), "gate_test")
+    _, report = build_and_check(spark, bad, zones(spark), "gate_test", report_only=True)
+    assert report.where("not passed").count() > 0
+    spark.sql("DROP DATABASE gate_test CASCADE")

@@ -329,14 +329,24 @@ def month_filter_count(spark, sf_dir):
 @query("lineitem", "nation", "region")
 def warehouse_build(spark, sf_dir):
     """Every model stored in a database of its own; the citywide mart read back."""
-    models = _build(spark, sf_dir)
-    return models["citywide_monthly"]
 
+    def build(seed, label):
+        models = warehouse.build_models(spark, _raw(spark, sf_dir), seed, label, scratch_dir(spark, label))
+        return models["citywide_monthly"]
 
-def _build(spark, sf_dir):
+    return _built(spark, sf_dir, build)
+
+
+def _built(spark, sf_dir, build):
+    """What a build returns, kept when its database has been dropped."""
     label = f"trips_{uuid.uuid4().hex[:12]}"
     seed = zones.read_zone_seed(spark, testtables.written_zone_seed(spark, sf_dir))
-    return warehouse.build_models(spark, _raw(spark, sf_dir), seed, label, scratch_dir(spark, label))
+    try:
+        result, out = build(seed, label), scratch_dir(spark, "built")
+        result.write.parquet(out)
+        return spark.read.schema(result.schema).parquet(out)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{label}` CASCADE")
 
 
 # --- data quality -----------------------------------------------------------------------------
@@ -390,7 +400,12 @@ def dq_volume(spark, sf_dir):
 @query("lineitem", "nation", "region")
 def dq_report(spark, sf_dir):
     """All 32 model checks over the stored models."""
-    return quality.report(_build(spark, sf_dir), quality.model_checks())
+
+    def build(seed, label):
+        place = scratch_dir(spark, label)
+        return warehouse.build_and_check(spark, _raw(spark, sf_dir), seed, label, place, report_only=True)[1]
+
+    return _built(spark, sf_dir, build)
 
 
 # --- event archive ----------------------------------------------------------------------------
