@@ -19,7 +19,7 @@ WORDS, THRESHOLD = 5, 0.8
 #: Chance that a pair at the threshold shares a band, and hashes that may be spent on it.
 TARGET_RECALL, MOST_HASHES = 0.995, 128
 #: Bytes of packed sets that one task compares at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 18
 _SET = "fp binary, shingles binary"
 _LINKS = "a binary, b binary, leader binary, share double"
 
