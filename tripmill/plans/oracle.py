@@ -406,16 +406,12 @@ ORACLE: dict[str, str] = {
     ),
     "warehouse_build": _with("select * from citywide", "citywide"),
     # data quality
-    "dq_not_null": _with(
-        _simple_checks(
-            "not_null",
-            {
-                c: f'"{c}" is null'
-                for c in ("VendorID", "PULocationID", "congestion_surcharge")
-            },
-        ),
-        "raw_yellow",
-        "raw_green",
+    "dq_not_null": _both(
+        " union all ".join(
+            f"""select 'not_null' as check_name, lower('{{service}}') as table_name, '{c}' as column_name,
+            count(*) filter ("{c}" is null) as violations from {{raw}}"""
+            for c in ("{pickup}", "VendorID", "PULocationID", "congestion_surcharge")
+        )
     ),
     "dq_accepted_values": _with(
         _simple_checks(

@@ -356,7 +356,7 @@ def _built(spark, sf_dir, build):
 def dq_not_null(spark, sf_dir):
     columns = ["VendorID", "PULocationID", "congestion_surcharge"]
     parts = [
-        quality.column_checks(df, [quality.NotNull(s.lower(), c) for c in columns])
+        quality.column_checks(df, [quality.NotNull(s.lower(), c) for c in [SERVICES[s][0], *columns]])
         for s, df in _raw(spark, sf_dir).items()
     ]
     return parts[0].unionByName(parts[1])
