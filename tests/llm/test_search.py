@@ -50,6 +50,21 @@ def test_join_equals_brute_force(spark):
     assert all((r.class_id == r.copy_id) or r.n_links > 0 for r in rows.values())
 
 
+def test_links_are_counted_whole(spark, monkeypatch):
+    texts = [*_family(1, 30, 6), *_family(2, 40, 2), *_family(7, 20, 12), *[" ".join(words(80, 50 + i)) for i in range(10)]]
+    texts += texts[:5]
+    random.Random(4).shuffle(texts)
+    sets = [frozenset(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) for t in texts]
+    want = [sum(s != o and len(s & o) >= 0.8 * len(s | o) for o in set(sets)) for s in sets]
+    assert max(want) > 20
+    for block_bytes, block_sets in ((1 << 18, 1024), (1 << 12, 1024), (1 << 18, 7)):
+        monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", block_bytes)
+        monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block_sets)
+        rows = {r.doc_id: r for r in jaccard_join.jaccard_join(docs(spark, texts), recall=0.99999).collect()}
+        assert [rows[i].n_links for i in range(len(texts))] == want
+        assert [rows[i].class_id for i in range(len(texts))] == _classes(texts)
+
+
 def test_bands_reach_the_recall():
     bands, rows = jaccard_join.choose_bands(0.8, 0.995, 128)
     assert bands * rows <= 128 and 1 - (1 - 0.8**rows) ** bands >= 0.995

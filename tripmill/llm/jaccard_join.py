@@ -18,10 +18,10 @@ from tripmill.llm.shingles import mix, pack, shingle_sets, unpack, word_lists
 WORDS, THRESHOLD = 5, 0.8
 #: Chance that a pair at the threshold shares a band, and hashes that may be spent on it.
 TARGET_RECALL, MOST_HASHES = 0.995, 128
-#: Bytes of packed sets that one task compares at a time.
-BLOCK_BYTES = 1 << 18
+#: Bytes of packed sets, and sets, that are compared with as many at a time.
+BLOCK_BYTES, BLOCK_SETS = 1 << 18, 1024
 _SET = "fp binary, shingles binary"
-_LINKS = "a binary, b binary, leader binary, share double"
+_LINKS = "fp binary, root binary, n long"
 
 
 def choose_bands(threshold: float, recall: float, most: int) -> tuple[int, int]:
@@ -120,60 +120,81 @@ def _stars(signed: DataFrame) -> DataFrame:
     return members.join(leaders, "bucket").filter("fp <> leader").select("fp", "leader").distinct()
 
 
-def _shares(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """Jaccard similarity of one set with each of the others."""
-    sizes = np.array([len(s) for s in others])
-    flat = np.concatenate(others)
-    spot = np.minimum(np.searchsorted(one, flat), len(one) - 1)
-    common = np.add.reduceat((one[spot] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
-    return common / (len(one) + sizes - common)
-
-
-def _with_leader(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Similarity of a block of members with their leader."""
-    leads = rows["fp"].map(bytes) == bytes(key[0])
-    members = rows[~leads]
-    if not len(members):
-        return pd.DataFrame(columns=["a", "b", "leader", "share"])
-    lead = unpack(rows[leads]["shingles"].iloc[0])
-    shares = _shares(lead, [unpack(x) for x in members["shingles"]])
-    return pd.DataFrame({"a": members["fp"], "b": key[0], "leader": key[0], "share": shares})
-
-
-def _among_members(threshold: float):
+def _overlaps(one: list[np.ndarray], other: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many elements each set of the one list shares with each of the other."""
+    flats = [np.concatenate(x) for x in (one, other)]
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (one, other)]
+    both = np.intersect1d(*flats)
+    common = np.zeros((len(one), len(other)))
+    if not len(both):
+        return common
+    spots = [np.minimum(np.searchsorted(both, flat), len(both) - 1) for flat in flats]
+    known = [both[spot] == flat for spot, flat in zip(spots, flats, strict=True)]
+    for at in range(0, len(both), width):
+        held = []
+        for sets, row, spot, good in zip((one, other), rows, spots, known, strict=True):
+            use = good & (spot >= at) & (spot < at + width)
+            held.append(np.zeros((len(sets), min(width, len(both) - at)), np.float32))
+            held[-1][row[use], spot[use] - at] = 1
+        common += held[0] @ held[1].T
+    return common
+
+
+def _groups(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the connected part of each row and column; -1 without a link."""
+    ups, downs = np.full(linked.shape[0], -1), np.full(linked.shape[1], -1)
+    for number, first in enumerate(np.flatnonzero(linked.any(axis=1))):
+        new = np.array([first]) if ups[first] < 0 else np.zeros(0, int)
+        while len(new):
+            ups[new] = number
+            reached = np.flatnonzero(linked[new].any(axis=0) & (downs < 0))
+            downs[reached] = number
+            new = np.flatnonzero(linked[:, reached].any(axis=1) & (ups < 0))
+    return ups, downs
+
+
+def _between_blocks(threshold: float):
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        """Members that fell short of their leader against the members of a block.
+        """Links of each set between two blocks of a family, or within one; ``root`` names its part.
 
-        Of a text's links to members that hang together already, one is enough; links among texts
-        that fell short are given unless they close a ring.
+        A pair that meets in several families counts in that of its smallest leader alone.
         """
-        members = rows[rows["own"]].drop_duplicates("fp")
-        short = rows[~rows["own"]].drop_duplicates("fp")
-        a, b, found = [], [], []
-        if len(members) and len(short):
-            prints = [bytes(x) for x in members["fp"]]
-            sets, linked = [unpack(x) for x in members["shingles"]], members["linked"].to_numpy()
-            root: dict[bytes, bytes] = {}
-
-            def top(x: bytes) -> bytes:
-                while root.get(x, x) != x:
-                    x = root[x]
-                return x
-
-            for fp, data in zip(short["fp"].map(bytes), short["shingles"], strict=True):
-                shares = _shares(unpack(data), sets)
-                for i in np.flatnonzero(shares >= threshold):
-                    one, other = top(fp), top(b"" if linked[i] else prints[i])
-                    if prints[i] != fp and one != other:
-                        root[max(one, other)] = min(one, other)
-                        a.append(fp), b.append(prints[i]), found.append(shares[i])
-        return pd.DataFrame({"a": a, "b": b, "leader": [key[0]] * len(a), "share": found})
+        same = key[1] == key[2]
+        sides = [rows[rows["block"] == k] for k in key[1:]]
+        if not all(len(x) for x in sides):
+            return pd.DataFrame({"fp": [], "root": [], "n": []})
+        sets = [[unpack(x) for x in side["shingles"]] for side in sides]
+        sizes = [np.array([len(s) for s in x]) for x in sets]
+        common = _overlaps(*sets)
+        linked = common / (sizes[0][:, None] + sizes[1][None, :] - common) >= threshold
+        names = {name: i for i, name in enumerate({bytes(x) for below in rows["below"] for x in below})}
+        if names:
+            below = [[np.array([names[bytes(x)] for x in b], np.int64) for b in side["below"]] for side in sides]
+            linked &= _overlaps(*below) == 0
+        if same:
+            np.fill_diagonal(linked, False)
+        counts = [linked.sum(axis=1), linked.sum(axis=0)]
+        if same:  # a set is one place, not two
+            np.fill_diagonal(linked, counts[0] > 0)
+        prints, n, part = [], [], []
+        for side, count, group in list(zip(sides, counts, _groups(linked), strict=True))[: 1 if same else 2]:
+            some = count > 0
+            prints += [bytes(x) for x in side["fp"][some]]
+            n += count[some].tolist()
+            part += group[some].tolist()
+        roots: dict[int, bytes] = {}
+        for fp, group in zip(prints, part, strict=True):
+            roots[group] = min(fp, roots.get(group, fp))
+        return pd.DataFrame({"fp": prints, "root": [roots[g] for g in part], "n": n})
 
     return compare
 
 
 def _links(docs: DataFrame, signed: DataFrame, words: int, threshold: float) -> DataFrame:
-    """(a, b, share): verified links between different shingle sets."""
+    """(fp, root, n) of sets with links: their number within a part of a family, and a set linked with this one there.
+
+    Each pair of different sets that share a leader is verified and counted once.
+    """
     stars = stored(_stars(signed), "near-stars")
     nodes = stars.select("fp").union(stars.select("leader")).distinct()
     first = signed.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(nodes, "fp")
@@ -181,33 +202,24 @@ def _links(docs: DataFrame, signed: DataFrame, words: int, threshold: float) ->
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     sets = stored(_sets(texts, words).groupBy("fp").agg(F.first("shingles").alias("shingles")), "near-sets")
 
-    sized = stars.join(sets.select("fp", F.length("shingles").alias("size")), "fp")
-    blocks = sized.groupBy("leader").agg(
-        F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("blocks"), F.count("*").alias("members")
-    )
+    families = stored(stars.union(stars.select("leader", "leader")).distinct(), "near-families")
+    sized = families.join(sets.select("fp", F.length("shingles").alias("size")), "fp")
+    by_bytes, by_sets = F.ceil(F.sum("size") / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_SETS)
+    blocks = sized.groupBy("leader").agg(F.greatest(by_bytes, by_sets).cast("int").alias("blocks"))
     blocks = stored(blocks, "near-blocks")
-    placed = stars.join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    members = placed.select("leader", "block", "fp").join(sets, "fp")
-    leads = blocks.select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    leads = leads.join(sets.withColumnRenamed("fp", "leader"), "leader")
-    leads = leads.select("leader", "block", F.col("leader").alias("fp"), "shingles")
-    together = members.select("leader", "block", "fp", "shingles").unionByName(leads)
-    starred = stored(together.groupBy("leader", "block").applyInPandas(_with_leader, _LINKS), "near-starred")
-    linked = starred.filter(F.col("share") >= threshold).select("a", "b", "share")
-
-    # who falls short of a leader may still be like others of its members
-    short = starred.filter(F.col("share") < threshold).join(blocks.filter("members > 1"), "leader")
-    short = stored(short.select("leader", F.col("a").alias("fp"), "blocks"), "near-short")
-    asked = short.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    asked = asked.select("leader", "block", "fp", F.lit(False).alias("own"), F.lit(False).alias("linked"))
-    open_leaders = short.select("leader").distinct()
-    state = starred.select("leader", F.col("a").alias("fp"), (F.col("share") >= threshold).alias("linked"))
-    own = state.join(open_leaders, "leader", "left_semi").join(blocks, "leader")
-    own = own.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    own = own.select("leader", "block", "fp", F.lit(True).alias("own"), "linked")
-    rest = asked.unionByName(own).join(sets, "fp")
-    among = rest.groupBy("leader", "block").applyInPandas(_among_members(threshold), _LINKS).select("a", "b", "share")
-    return linked.unionByName(among)
+    leaders = families.groupBy("fp").agg(F.collect_set("leader").alias("leaders"))
+    placed = families.join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = placed.join(leaders, "fp").select(
+        "leader",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "block",
+        "fp",
+        F.filter("leaders", lambda x: x < F.col("leader")).alias("below"),
+    )
+    together = met.join(sets, "fp").groupBy("leader", "low", "high")
+    return together.applyInPandas(_between_blocks(threshold), _LINKS)
 
 
 def jaccard_join(
@@ -218,21 +230,21 @@ def jaccard_join(
     Texts are sets of ``words``-word shingles (words as in ``split_words``, A-Z in lower case); one
     with fewer words is a single shingle. ``copy_id`` is the smallest doc_id with the same set,
     ``class_id`` the smallest in the connected component of links, a link being a Jaccard similarity
-    of at least ``threshold``. ``n_links`` counts the set's links kept: with the leader of a family
-    and what else joins its parts; links that close a ring within one component are not listed. All
-    equal sets are one node, and neither they nor families are expanded into pairs.
+    of at least ``threshold``. ``n_links`` counts the other sets that the set is linked with. All
+    equal sets are one node, and neither they nor families are expanded into rows for pairs.
 
-    Bands and rows are chosen for the recall at the threshold. A bucket's members are compared with
-    its leader; who falls short is compared with all members of that leader, so every pair that
-    shares a bucket and meets the threshold ends in one component. Candidates are verified on whole
+    Bands and rows are chosen for the recall at the threshold. A family is the members of the
+    buckets of one leader; all its pairs are compared, block by block, so every pair that shares a
+    bucket and meets the threshold is counted, and once. Candidates are verified on whole
     sets. Texts without words (null, empty) are alone: class_id is their doc_id. Rows with null ids
     take part; a class of such rows alone has a null class_id. Extra columns are not read.
     """
     bands, rows = choose_bands(threshold, recall, MOST_HASHES)
     signed = stored(_signatures(docs, words, bands, rows), "near-signed")
     links = stored(_links(docs, signed, words, threshold), "near-links")
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("fp")).agg(F.count("*").alias("n_links"))
-    labels = components(links).join(degree.withColumnRenamed("fp", "node"), "node")
+    degree = links.groupBy(F.col("fp").alias("node")).agg(F.sum("n").alias("n_links"))
+    edges = links.filter("fp <> root").select(F.col("fp").alias("a"), F.col("root").alias("b"))
+    labels = components(edges).join(degree, "node")
     copies = signed.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("copy_id"))
     known = copies.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     known = stored(known.withColumn("label", F.coalesce("label", "fp")), "near-known")
