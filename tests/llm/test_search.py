@@ -157,6 +157,28 @@ def test_edited_items_are_found_and_clean_documents_left(spark):
     assert kept.count() == 400 - len({d for d, _ in found})
 
 
+def test_edits_of_every_kind_are_all_found(spark):
+    rng = random.Random(8)
+    sizes = [1, 2, 4, 5, 9, 10, 17, 46, 54, 59, 100, 200]
+    items = [[f"i{i}x{k}" for k in range(n)] for i, n in enumerate(sizes)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    texts, want = [], {}
+    for i, item in enumerate(items):
+        for kind in ("replace", "insert", "delete"):
+            for _ in range(8):
+                copy, edits = list(item), decontaminate.allowed_edits(len(item))
+                # inner words, so that no run of words is nearer than the planted one
+                for at in sorted(rng.sample(range(1, max(2, len(item) - 1)), edits), reverse=True):
+                    copy[at : at + (kind != "insert")] = [] if kind == "delete" else [f"new{rng.randrange(10**6)}"]
+                text = words(rng.randint(0, 300), 9000 + len(texts))
+                at = rng.randint(0, len(text))
+                text[at:at] = copy
+                want[len(texts), i] = (at, edits)
+                texts.append(" ".join(text))
+    found = {(r.doc_id, r.item_id): (r.start, r.edits) for r in decontaminate.contaminated(docs(spark, texts), bench).collect()}
+    assert found == want
+
+
 def test_token_ids_round_trip(spark):
     texts = ["Hello, World's  END.. x<|endoftext|>y", "", None, "ÉTÉ naïve İx é", "3.14 a.b (c)!! don't\r\n\tq", *[" ".join(words(30, i)) for i in range(50)]]
     got = sorted(map(tuple, token_index.token_ids(docs(spark, texts), TOKENIZER).collect()))

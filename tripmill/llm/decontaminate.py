@@ -1,10 +1,10 @@
-"""Operator 8: benchmark items in documents, by CGK embedding, bit-sampling LSH and exact edit distance.
+"""Operator 8: benchmark items in documents, by blocks of words that edits must leave, and exact edit distance.
 
-Words are the symbols. The CGK walk reads a word again or steps on, as a random function of step
-and word says; two texts a few edits apart fall into step again after each, so their walks agree
-at most steps: edit distance becomes Hamming distance. Each repetition walks by its own random
-function, samples a few steps, and hashes the words read there to a key. Items and the item-sized
-windows of documents that share a key are candidates; exact edit distance decides.
+An item is cut into blocks of five words. An edit touches at most one of them, so of b blocks at
+least b - e stand untouched wherever the item stands with e edits, each as far from the place's
+start as in the item, give or take e words. Documents are read through a filter of the blocks, joined
+with them, and exact edit distance decides around the places that hold enough blocks. Nothing within
+the limit is missed, whatever the edits; a shorter item is one block and stands unedited.
 """
 
 from __future__ import annotations
@@ -18,20 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import split_words, stored
-from tripmill.llm.shingles import grams, mix, word_lists
+from tripmill.llm.shingles import grams, word_lists
 
 #: Edits allowed, as a share of an item's words.
 EDITS = 0.15
-#: Words in a row that allowed edits always leave untouched; shorter items are not searched.
+#: Words of a block; allowed edits leave at least one of an item's blocks. Shorter items are one block.
 SEED_WORDS = 5
-#: Steps sampled for a key, and the chance that walks of texts at the limit agree at a step.
-SAMPLED, AGREEMENT = 3, 0.6
-TARGET_RECALL = 0.99
-#: Bits of the filters that documents are read through; a fuller filter lets more pass, never less.
+#: Bits of the filter that documents are read through; a fuller filter lets more pass, never less.
 FILTER_BITS = 1 << 26
-PAD = np.uint64(0)
-_CANDIDATES = "doc_id long, start long, keys array<long>, window array<long>"
-_FOUND = "doc_id long, item_id long, start long, edits int"
+_WINDOW = "start long, spots array<long>, seeds array<long>, window array<long>"
+_FOUND = "at long, item_id long, start long, edits int"
 
 
 def allowed_edits(words: int) -> int:
@@ -39,87 +35,62 @@ def allowed_edits(words: int) -> int:
     return max(0, min(int(EDITS * words), words // SEED_WORDS - 1))
 
 
-def repetitions(recall: float = TARGET_RECALL) -> int:
-    """Repetitions that give the recall for one window at the limit."""
-    return int(np.ceil(np.log(1 - recall) / np.log1p(-(AGREEMENT**SAMPLED))))
+def blocks_left(words: int) -> int:
+    """Blocks of an item that allowed edits leave at least."""
+    return max(1, words // SEED_WORDS - allowed_edits(words))
 
 
-def size_class(words: int) -> int:
-    """Items of 5-7, 8-11, 12-17, 18-26, ... words are searched with windows of one size."""
-    low, number = SEED_WORDS, 0
-    while words >= class_bounds(number)[1]:
-        number += 1
-    return number if words >= low else -1
-
-
-def class_bounds(number: int) -> tuple[int, int]:
-    """Fewest words of a class, and fewest of the next."""
-    low = SEED_WORDS
-    for _ in range(number):
-        low = low * 3 // 2 + 1
-    return low, low * 3 // 2 + 1
-
-
-def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, number: int, repeats: int) -> np.ndarray:
-    """Keys (start x repetition) of the walks from ``starts``; past its end a text reads PAD."""
-    low = class_bounds(number)[0]
-    keys = np.zeros((len(starts), repeats), np.uint64)
-    for r in range(repeats):
-        rng = np.random.default_rng([number, r])
-        steps = np.sort(rng.integers(0, 2 * low, SAMPLED))
-        salts = rng.integers(1, 2**63, 2 * low, dtype=np.uint64) | np.uint64(1)
-        at, folded = starts.copy(), np.full(len(starts), (number << 16) + r + 1, np.uint64)
-        for step in range(steps[-1] + 1):
-            read = np.where(at < ends, words[np.minimum(at, len(words) - 1)], PAD)
-            for _ in range(int((steps == step).sum())):
-                folded = mix(folded * np.uint64(0x9E3779B97F4A7C15) + read)
-            at += ((read ^ salts[step]) * salts[step] >> np.uint64(63)).astype(np.int64)
-        keys[:, r] = folded
-    return keys
+def _last_row(item: np.ndarray, window: np.ndarray, row: np.ndarray, edit: int) -> np.ndarray:
+    """Least costs of the item up to each end in the window; ``row`` has the costs to begin there."""
+    steps = np.arange(len(window) + 1) * edit
+    for word in item:
+        change = np.empty(len(window) + 1, np.int64)
+        change[0] = row[0] + edit
+        change[1:] = np.minimum(row[:-1] + edit * (window != word), row[1:] + edit)
+        # insertions: the smallest change to the left plus the distance
+        row = np.minimum.accumulate(change - steps) + steps
+    return row
 
 
 def edit_distance(item: np.ndarray, window: np.ndarray) -> int:
     """Fewest word edits between the item and a beginning of the window."""
-    steps = np.arange(len(window) + 1)
-    row = steps.copy()
-    for i, word in enumerate(item, 1):
-        change = np.empty(len(window) + 1, np.int64)
-        change[0] = i
-        change[1:] = np.minimum(row[:-1] + (window != word), row[1:] + 1)
-        # insertions: the smallest change to the left plus the distance
-        row = np.minimum.accumulate(change - steps) + steps
-    return int(row.min())
+    return int(_last_row(item, window, np.arange(len(window) + 1), 1).min())
 
 
-def _words(df: DataFrame, key: str) -> DataFrame:
+def best_place(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
+    """(edits, start) of the run of words in the window nearest to the item, the first on a tie."""
+    edit = len(window) + 1
+    edits, start = divmod(int(_last_row(item, window, np.arange(edit), edit).min()), edit)
+    return edits, start
+
+
+def _words(df: DataFrame, *keys: str) -> DataFrame:
     hashed = F.transform(split_words(F.lower(F.coalesce("text", F.lit("")))), lambda w: F.xxhash64(w))
-    return df.select(key, hashed.alias("words"))
+    return df.select(*keys, hashed.alias("words"))
 
 
-def _items(benchmark: DataFrame, repeats: int) -> DataFrame:
-    """item_id, words, seeds, number (size class) and keys of the items that are searched."""
+def _items(benchmark: DataFrame) -> DataFrame:
+    """item_id, words, seeds (hash of each block), wide (words of a block) of the items with words."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, offsets = word_lists(batch.column(1))
-            rows = {k: [] for k in ("item_id", "words", "seeds", "number", "keys")}
+            rows = {k: [] for k in ("item_id", "words", "seeds", "wide")}
             for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
-                own = words[a:b]
-                if len(own) < SEED_WORDS:
+                if a == b:
                     continue
-                number = size_class(len(own))
+                own, wide = words[a:b], min(SEED_WORDS, int(b - a))
                 rows["item_id"].append(batch.column(0)[i].as_py())
                 rows["words"].append(own.view(np.int64))
-                rows["seeds"].append(grams(own, SEED_WORDS).view(np.int64))
-                rows["number"].append(number)
-                keys = walk_keys(own, np.zeros(1, np.int64), np.array([len(own)]), number, repeats)
-                rows["keys"].append(keys[0].view(np.int64))
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64())]
+                rows["seeds"].append(grams(own, wide)[::wide].view(np.int64))
+                rows["wide"].append(wide)
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32()]
             columns = [pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=list(rows))
 
     items = _words(benchmark.filter("item_id is not null"), "item_id")
-    return items.mapInArrow(code, "item_id long, words array<long>, seeds array<long>, number int, keys array<long>")
+    coded = items.mapInArrow(code, "item_id long, words array<long>, seeds array<long>, wide int")
+    return coded.withColumn("item", F.monotonically_increasing_id())
 
 
 def _filter(items: DataFrame, column: str) -> np.ndarray:
@@ -135,78 +106,110 @@ def _holds(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _read(docs: DataFrame, seeds: np.ndarray, keys: np.ndarray, numbers: list[int], repeats: int) -> DataFrame:
-    """Windows that hold a seed of some item and a key of some item, both up to the filters' errors."""
-    sizes = {n: class_bounds(n)[1] - 1 for n in numbers}
-    spans = {n: m + allowed_edits(m) for n, m in sizes.items()}
+def _read(docs: DataFrame, keys: list[str], seeds: np.ndarray, wides: list[int], longest: int) -> DataFrame:
+    """The keys and surroundings of every block of some item, up to the filter's errors.
+
+    Surroundings that overlap are one window, so whatever stands around a block lies in its window.
+    """
+    reach = longest + 2 * allowed_edits(longest)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, offsets = word_lists(batch.column(1))
-            ids = batch.column(0).to_pylist()
-            rows = {k: [] for k in ("doc_id", "start", "keys", "window")}
-            hits = np.flatnonzero(_holds(seeds, grams(words, SEED_WORDS)))
+            words, offsets = word_lists(batch.column(len(keys)))
+            known = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for wide in wides:
+                every = grams(words, wide)
+                hits = np.flatnonzero(_holds(seeds, every))
+                of = np.searchsorted(offsets, hits, side="right") - 1
+                hits = hits[hits + wide <= offsets[of + 1]]
+                known[0].append(hits), known[1].append(every[hits])
+            hits, found = np.concatenate(known[0]), np.concatenate(known[1])
+            order = np.argsort(hits, kind="stable")
+            hits, found = hits[order], found[order]
             of = np.searchsorted(offsets, hits, side="right") - 1
-            inside = hits + SEED_WORDS <= offsets[of + 1]
-            hits, of = hits[inside], of[inside]
-            for number in numbers if len(hits) else []:
-                cover = np.zeros(len(words) + 1, np.int64)
-                np.add.at(cover, np.maximum(offsets[of], hits - spans[number] + SEED_WORDS), 1)
-                np.add.at(cover, hits + 1, -1)
-                every = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
-                for starts in np.array_split(every, -(-len(every) // (1 << 17)) or 1):
-                    text = np.searchsorted(offsets, starts, side="right") - 1
-                    made = walk_keys(words, starts, offsets[text + 1].astype(np.int64), number, repeats)
-                    known = _holds(keys, made.ravel()).reshape(made.shape)
-                    for i in np.flatnonzero(known.any(axis=1)):
-                        a, t = starts[i], text[i]
-                        rows["doc_id"].append(ids[t])
-                        rows["start"].append(int(a - offsets[t]))
-                        rows["keys"].append(made[i][known[i]].view(np.int64))
-                        rows["window"].append(words[a : min(a + spans[number], offsets[t + 1])].view(np.int64))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            columns = [pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=list(rows))
-
-    return _words(docs, "doc_id").mapInArrow(read, _CANDIDATES)
+            new = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(hits, prepend=0) > 2 * reach))
+            rows, docs_at = {k: [] for k in ("start", "spots", "seeds", "window")}, []
+            for a, b in zip(new, np.append(new, len(hits))[1:], strict=True):
+                low, high = offsets[of[a]], offsets[of[a] + 1]
+                first, last = max(low, hits[a] - reach), min(high, hits[b - 1] + reach)
+                docs_at.append(of[a])
+                rows["start"].append(int(first - low))
+                rows["spots"].append(hits[a:b] - first)
+                rows["seeds"].append(found[a:b].view(np.int64))
+                rows["window"].append(words[first:last].view(np.int64))
+            kinds = [pa.int64(), *[pa.list_(pa.int64())] * 3]
+            columns = [batch.column(i).take(pa.array(docs_at, pa.int64())) for i in range(len(keys))]
+            columns += [pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, *rows])
+
+    worded = _words(docs, *keys)
+    kept = ", ".join(f"{k} {worded.schema[k].dataType.simpleString()}" for k in keys)
+    return worded.mapInArrow(read, f"{kept}, {_WINDOW}").withColumn("at", F.monotonically_increasing_id())
+
+
+def _best(item: np.ndarray, window: np.ndarray, hits: list) -> tuple[int, int] | None:
+    """(edits, start) of the best place around enough hits, each a (start by a block, place of the block)."""
+    edits, least = allowed_edits(len(item)), blocks_left(len(item))
+    span, best = len(item) + 2 * edits, None
+    hits = sorted((int(h["start"]), int(h["place"])) for h in hits)
+    at = 0
+    while at < len(hits):
+        stop = at + 1
+        while stop < len(hits) and hits[stop][0] - edits <= hits[stop - 1][0] + span:
+            stop += 1
+        if len({place for _, place in hits[at:stop]}) >= least:
+            low = max(0, hits[at][0] - edits)
+            found, start = best_place(item, window[low : max(low, hits[stop - 1][0] + span)])
+            if found <= edits and (best is None or (found, low + start) < best):
+                best = found, low + start
+        at = stop
+    return best
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pairs in batches:
-        pairs["edits"] = [edit_distance(i, w) for i, w in zip(pairs["words"], pairs["window"], strict=True)]
-        close = pairs["edits"] <= [allowed_edits(len(i)) for i in pairs["words"]]
-        yield pairs.loc[close, ["doc_id", "item_id", "start", "edits"]]
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, recall: float = TARGET_RECALL) -> DataFrame:
+        best = [_best(i, w, h) for i, w, h in zip(pairs["words"], pairs["window"], pairs["hits"], strict=True)]
+        close = [x is not None for x in best]
+        out = pairs.loc[close, ["at", "item_id"]]
+        out["start"], out["edits"] = [x[1] for x in best if x], [x[0] for x in best if x]
+        yield out
+
+
+def _places(docs: DataFrame, benchmark: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys, item_id, start and edits of the best place of every item in every window."""
+    items = stored(_items(benchmark), "bench-items")
+    longest = items.agg(F.max(F.size("words"))).first()[0] or 0
+    wides = sorted(r.wide for r in items.select("wide").distinct().collect())
+    windows = stored(_read(docs, keys, _filter(items, "seeds"), wides, longest), "bench-windows")
+    blocks = items.select("item", F.posexplode("seeds").alias("k", "seed"))
+    blocks = blocks.join(items.select("item", "wide"), "item").select("item", "seed", (F.col("k") * F.col("wide")).alias("place"))
+    spots = windows.select("at", F.explode(F.arrays_zip("spots", "seeds")).alias("s")).select("at", "s.spots", F.col("s.seeds").alias("seed"))
+    hit = F.struct((F.col("spots") - F.col("place")).alias("start"), "place")
+    pairs = spots.join(blocks, "seed").groupBy("at", "item").agg(F.collect_set(hit).alias("hits"))
+    full = pairs.join(items.select("item", "item_id", "words"), "item").join(windows.select("at", "window"), "at")
+    found = full.select("at", "item_id", "words", "window", "hits").mapInPandas(_verify, _FOUND)
+    placed = found.join(windows.select("at", *keys, F.col("start").alias("first")), "at")
+    return placed.select(*keys, "item_id", (F.col("first") + F.col("start")).alias("start"), "edits")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start (word number, from 0) and edits of every benchmark item in a document.
 
     Words as in ``split_words``, in lower case. An item of m words stands in a document where
     some run of words is within ``allowed_edits(m)`` word insertions, deletions and replacements of
-    it; the best place is given, the first on a tie. Items under five words are not searched, nor
-    are items with null ids. Documents with one id are reported as one. Null and empty texts hold
-    nothing; an empty benchmark finds nothing. Extra columns are not read.
+    it; the best place is given, the first on a tie. Every such place is found. Items without words
+    or with null ids are not searched. Documents with one id are reported as one, as are items.
+    Null and empty texts hold nothing; an empty benchmark finds nothing. Extra columns are not read.
 
-    A window is walked only if it holds five words in a row of some item, which the allowed edits
-    always leave, and leaves the scan only if one of its keys may be an item's: both filters have
-    a fixed size, no false negatives, and the join on keys follows. A hot key is split as a skewed join.
+    Only surroundings of what the filter takes for a block of an item leave the scan: it has a fixed
+    size, no false negatives, and the join on blocks follows. A hot block is split as a skewed join.
     """
-    repeats = repetitions(recall)
-    items = stored(_items(benchmark, repeats), "bench-items")
-    numbers = sorted(r.number for r in items.select("number").distinct().collect())
-    seeds, keys = _filter(items, "seeds"), _filter(items, "keys")
-    windows = stored(_read(docs, seeds, keys, numbers, repeats), "bench-windows")
-    by_key = items.select("item_id", F.explode("keys").alias("key")).distinct()
-    exploded = windows.withColumn("at", F.xxhash64("doc_id", "start", "window"))
-    pairs = exploded.select("at", F.explode("keys").alias("key")).join(by_key, "key").select("at", "item_id").distinct()
-    full = pairs.join(exploded.select("at", "doc_id", "start", "window").dropDuplicates(["at"]), "at")
-    full = full.join(items.select("item_id", "words").dropDuplicates(["item_id"]), "item_id")
-    found = full.select("doc_id", "item_id", "start", "words", "window").mapInPandas(_verify, _FOUND)
     best = F.min(F.struct("edits", "start")).alias("b")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.start", "b.edits")
+    found = _places(docs, benchmark, ["doc_id"]).groupBy("doc_id", "item_id").agg(best)
+    return found.select("doc_id", "item_id", "b.start", "b.edits")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, recall: float = TARGET_RECALL) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item stands; see contaminated."""
-    found = stored(contaminated(docs, benchmark, recall).select(F.col("doc_id").alias("_found")).distinct(), "bench-found")
+    found = stored(contaminated(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct(), "bench-found")
     return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
