@@ -7,6 +7,7 @@ are up to the last stage, which returns each row's shard and slot.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmill.llm import decontaminate, histogram_shard, jaccard_join, poisson_mix, toxicity_fm
 from tripmill.llm.common import stored, table
@@ -31,8 +32,8 @@ def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents replicated so that sources take their target shares, in a shuffled order."""
-    return poisson_mix.poisson_mix(docs).select(*docs.columns)
+    """Documents replicated so that sources take their target shares, in a shuffled order; drawn by id and text."""
+    return poisson_mix.poisson_mix(docs, by=(F.md5("text"),)).select(*docs.columns)
 
 
 def _shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm.corpus import docs, empty, odd
 from tripmill.llm import histogram_shard, license_scan, poisson_mix
 
@@ -67,6 +68,12 @@ def test_mix_follows_the_weights_and_repeats(spark):
     assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, again.collect()))
 
 
+def test_rows_without_ids_draw_apart_in_the_pipeline(spark):
+    corpus = docs(spark, [(None, f"text {i}") for i in range(400)])
+    mixed = corpus_pipeline._mix(spark, corpus, "")
+    assert abs(mixed.count() - 400) < 100 and 200 < mixed.distinct().count() < 300
+
+
 def test_large_rates_are_sums_of_draws(spark):
     corpus = docs(spark, [f"t{i}" for i in range(50)], lambda i: "rare" if i < 5 else "most")
     mixed = poisson_mix.poisson_mix(corpus, {"rare": 1.0}, epochs=10.0)

@@ -65,6 +65,19 @@ def test_links_are_counted_whole(spark, monkeypatch):
         assert [rows[i].class_id for i in range(len(texts))] == _classes(texts)
 
 
+def test_rows_of_one_id_are_decided_one_by_one(spark):
+    a, b, c, d = (" ".join(words(60, 700 + i)) for i in range(4))
+    rows = [(1, a), (5, a), (5, b), *[(None, c)] * 20, (None, d), (None, d + " end"), (None, a), (7, ""), (7, ""), (None, ""), (None, None)]
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs(spark, rows)).collect()]
+    near = [x for x in kept if x[1] in (d, d + " end")]
+    assert len(near) == 1 and near[0][0] is None
+    want = [(1, a), (5, b), (None, c), (7, ""), (None, ""), (None, None)]
+    assert sorted(map(str, set(kept) - set(near))) == sorted(map(str, want)) and len(kept) == len(want) + 1
+    bench = spark.createDataFrame([(1, " ".join(c.split()[10:40]))], "item_id long, text string")
+    clean = decontaminate.decontaminate(docs(spark, [(None, c), (None, d), (3, a), (3, c), (3, None)]), bench).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in clean) == sorted(map(str, [(None, d), (3, a), (3, None)]))
+
+
 def test_bands_reach_the_recall():
     bands, rows = jaccard_join.choose_bands(0.8, 0.995, 128)
     assert bands * rows <= 128 and 1 - (1 - 0.8**rows) ** bands >= 0.995

@@ -210,6 +210,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item stands; see contaminated."""
-    found = stored(contaminated(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct(), "bench-found")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    """The documents in which no benchmark item stands; see contaminated. Rows are told apart by doc_id and text."""
+    keyed = docs.withColumn("_md5", F.md5("text"))
+    places = _places(keyed, benchmark, ["doc_id", "_md5"])
+    found = stored(places.select(F.col("doc_id").alias("_found"), F.col("_md5").alias("_text")).distinct(), "bench-found")
+    same_row = F.col("doc_id").eqNullSafe(F.col("_found")) & F.col("_md5").eqNullSafe(F.col("_text"))
+    return keyed.join(found, same_row, "left_anti").drop("_md5")

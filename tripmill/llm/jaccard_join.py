@@ -73,21 +73,24 @@ def _parts(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, pa.Arr
         at = stop
 
 
-def _signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, fingerprint of the shingle set (null without words) and band hashes of every row."""
+def _signatures(docs: DataFrame, keys: list[str], words: int, bands: int, rows: int) -> DataFrame:
+    """The keys, fingerprint of the shingle set (null without words) and band hashes of every row."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, part in _parts(batch.column(1)):
+            for at, part in _parts(batch.column(len(keys))):
                 sets = shingle_sets(*word_lists(part), words)
                 some = [i for i, s in enumerate(sets) if len(s)]
                 hashes = iter(band_hashes([sets[i] for i in some], bands, rows).view(np.int64)) if some else iter(())
                 signed = [next(hashes) if len(s) else None for s in sets]
                 prints = [_fingerprint(s) if len(s) else None for s in sets]
-                columns = [batch.column(0).slice(at, len(part)), pa.array(prints, pa.binary()), pa.array(signed, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "bands"])
+                columns = [batch.column(i).slice(at, len(part)) for i in range(len(keys))]
+                columns += [pa.array(prints, pa.binary()), pa.array(signed, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keys, "fp", "bands"])
 
-    return _hashed_words(docs, "doc_id").mapInArrow(sign, "doc_id long, fp binary, bands array<long>")
+    hashed = _hashed_words(docs, *keys)
+    kept = ", ".join(f"{k} {hashed.schema[k].dataType.simpleString()}" for k in keys)
+    return hashed.mapInArrow(sign, f"{kept}, fp binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -239,8 +242,13 @@ def jaccard_join(
     sets. Texts without words (null, empty) are alone: class_id is their doc_id. Rows with null ids
     take part; a class of such rows alone has a null class_id. Extra columns are not read.
     """
+    return _classified(docs, ["doc_id"], words, threshold, recall).drop("fp", "label")
+
+
+def _classified(docs: DataFrame, keys: list[str], words: int, threshold: float, recall: float) -> DataFrame:
+    """The rows of jaccard_join with further keys, set fingerprint and component (null without words)."""
     bands, rows = choose_bands(threshold, recall, MOST_HASHES)
-    signed = stored(_signatures(docs, words, bands, rows), "near-signed")
+    signed = stored(_signatures(docs, keys, words, bands, rows), "near-signed")
     links = stored(_links(docs, signed, words, threshold), "near-links")
     degree = links.groupBy(F.col("fp").alias("node")).agg(F.sum("n").alias("n_links"))
     edges = links.filter("fp <> root").select(F.col("fp").alias("a"), F.col("root").alias("b"))
@@ -249,11 +257,13 @@ def jaccard_join(
     known = copies.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     known = stored(known.withColumn("label", F.coalesce("label", "fp")), "near-known")
     classes = known.groupBy("label").agg(F.min("copy_id").alias("class_id"))
-    found = known.join(classes, "label").select("fp", "copy_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    rows_out = signed.select("doc_id", "fp").join(found, "fp", "left")
+    found = known.join(classes, "label").select("fp", "label", "copy_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    rows_out = signed.select(*keys, "fp").join(found, "fp", "left")
     alone = F.col("fp").isNull()
     return rows_out.select(
-        "doc_id",
+        *keys,
+        "fp",
+        "label",
         F.when(alone, F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
@@ -263,17 +273,25 @@ def jaccard_join(
 def keep_one(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class of near duplicates, with all its columns.
 
-    The document whose doc_id names the class stays. Rows that repeat its id stay once for each
-    different text. Texts without words are no duplicates and stay, as do rows without ids.
+    Rows are told apart by doc_id and text. Of a class the row with the smallest doc_id stays, of
+    several the one with the smallest MD5 of its text; rows without ids come last. Rows that repeat
+    an id and a text stay once, those without id and words all. Texts without words are no duplicates.
     """
-    classes = jaccard_join(docs.select("doc_id", "text"), words, threshold)
-    gone = classes.filter("class_id <> doc_id").select("doc_id").distinct()
-    gone = stored(gone.select(F.col("doc_id").alias("_gone")), "near-gone")
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    # rows that repeat an id: one of each id and text
-    again = stored(kept.groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("doc_id").alias("_again")), "near-again")
+    keyed = docs.withColumn("_md5", F.md5("text"))
+    rows = _classified(keyed.select("doc_id", "_md5", "text"), ["doc_id", "_md5"], words, threshold, TARGET_RECALL)
+    counted = stored(rows.groupBy("doc_id", "_md5", "label").agg(F.count("*").alias("_n")), "near-rows")
+    best = F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "_md5")).alias("best")
+    named = counted.join(counted.filter("label is not null").groupBy("label").agg(best), "label")
+    gone = named.filter("not (doc_id <=> best.doc_id and _md5 <=> best._md5)")
+    gone = stored(gone.select(F.col("doc_id").alias("_id"), F.col("_md5").alias("_text")), "near-gone")
+    same_row = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_md5").eqNullSafe(F.col("_text"))
+    kept = keyed.join(gone, same_row, "left_anti")
+    # rows that repeat: one of each id and text
+    again = counted.filter("_n > 1 and (doc_id is not null or label is not null)")
+    again = again.select(F.col("doc_id").alias("_id"), F.col("_md5").alias("_text"))
+    again = stored(again.join(gone, ["_id", "_text"], "left_anti"), "near-again")
     if again.isEmpty():
-        return kept
-    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
-    rest = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi")
-    return once.unionByName(rest.dropDuplicates(["doc_id", "text"]))
+        return kept.drop("_md5")
+    once = kept.join(again, same_row, "left_anti")
+    rest = kept.join(again, same_row, "left_semi")
+    return once.unionByName(rest.dropDuplicates(["doc_id", "_md5"])).drop("_md5")

@@ -58,7 +58,9 @@ def _draws(rates: DataFrame) -> DataFrame:
     return rates.withColumn("draws", draws).withColumn("mean", F.col("rate") / F.col("draws")).withColumn("cdf", terms)
 
 
-def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: int = 17) -> DataFrame:
+def poisson_mix(
+    docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: int = 17, by: tuple[Column, ...] = ()
+) -> DataFrame:
     """Each document as often as a hash-seeded Poisson draw says, in a globally shuffled order.
 
     The mean is the source's repetition rate: target share of the mixture over the source's size.
@@ -68,7 +70,7 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs
 
     Only the small table of rates is joined; Spark broadcasts it if its stored size allows, else
     the join is shuffled and a hot source is split as a skewed join. Rows of one doc_id (null
-    included) draw alike. Null and empty texts count as size one. Columns of the input named like
+    included) draw alike, unless the expressions ``by`` tell them apart. Null and empty texts count as size one. Columns of the input named like
     the added ones are replaced. No rows give no rows.
     """
     own = [c for c in docs.columns if c.lower() not in ("copies", "copy", "order_key")]
@@ -77,7 +79,7 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs
     joined = docs.select(*own).join(rates, F.col("source").eqNullSafe(F.col("_source")))
 
     def drawn(i: Column) -> Column:
-        u = uniform(F.lit(seed), F.col("doc_id"), i)
+        u = uniform(F.lit(seed), F.col("doc_id"), *by, i)
         return F.size(F.filter(F.col("_law.cdf"), lambda c: c <= u))
 
     one = drawn(F.lit(0))
@@ -86,5 +88,5 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs
     copies = counted.filter("copies > 0").select(
         *own, "copies", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
     )
-    order = uniform(F.lit(seed + 1), F.col("doc_id"), F.col("copy"))
+    order = uniform(F.lit(seed + 1), F.col("doc_id"), *by, F.col("copy"))
     return copies.withColumn("order_key", order).repartition("order_key").sortWithinPartitions("order_key", "doc_id", "copy")
