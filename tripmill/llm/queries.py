@@ -4,7 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tripmill.llm import ann_scan, backoff_lm, decontaminate, histogram_shard, jaccard_join, license_scan, poisson_mix, quality_crf, token_index, toxicity_fm
+from tripmill.llm import (
+    ann_scan,
+    backoff_lm,
+    decontaminate,
+    histogram_shard,
+    jaccard_join,
+    language_kernel,
+    license_scan,
+    phrase_mining,
+    poisson_mix,
+    quality_crf,
+    token_alignment,
+    token_index,
+    toxicity_fm,
+)
 from tripmill.llm.common import table
 
 QUERIES = {}
@@ -64,3 +78,19 @@ def op9_backoff_lm(spark, sf_dir):
 @query
 def op10_poisson_mix(spark, sf_dir):
     return poisson_mix.poisson_mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_language_kernel(spark, sf_dir):
+    return language_kernel.languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    byte_level, pieces = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.alignment(table(spark, sf_dir, "documents"), byte_level, pieces)
+
+
+@query
+def op13_phrase_mining(spark, sf_dir):
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))

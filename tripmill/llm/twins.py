@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import backoff_lm, license_scan, poisson_mix
+from tripmill.llm import backoff_lm, license_scan, phrase_mining, poisson_mix
 
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -118,4 +118,39 @@ select doc_id, held as held_out, n_tokens, n_known, (select n::bigint from size)
 from texts join summed using (rid)"""
 
 
-ORACLE = {"op9_backoff_lm": _lm_sql(), "op4_license_scan": _license_sql(), "op10_poisson_mix": _mix_sql()}
+def _phrase_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    cuts = " union all ".join(
+        f"select lang, phrase, a, {k} as k, array_to_string(w[1:{k}], ' ') as head, array_to_string(w[{k + 1}:], ' ') as tail "
+        f"from candidates where len(w) > {k}"
+        for k in range(1, phrase_mining.LONGEST)
+    )
+    return f"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+worded as (select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') as ws from pieces),
+totals as (select lang, sum(len(ws)) as n from worded group by lang),
+placed as (select lang, ws, unnest(range(1, len(ws) + 1)) as i from worded),
+grams as (
+  select lang, array_to_string(ws[i:i + m - 1], ' ') as phrase
+  from placed, range(1, {phrase_mining.LONGEST + 1}) r(m) where i + m - 1 <= len(ws)),
+frequent as (
+  select lang, phrase, count(*) as a from grams group by lang, phrase having count(*) >= {phrase_mining.SUPPORT}),
+candidates as (select *, string_split(phrase, ' ') as w from frequent where contains(phrase, ' ')),
+cuts as ({cuts}),
+scored as (
+  select lang, c.phrase, c.a, k, l.a as l, r.a as r, n,
+    (1000::hugeint * c.a::hugeint * n::hugeint) // (l.a::hugeint * r.a::hugeint) as score
+  from cuts c join frequent l using (lang) join frequent r using (lang) join totals using (lang)
+  where l.phrase = head and r.phrase = tail),
+cheapest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+kept as (
+  select * from cheapest c where not exists (
+    select 1 from candidates o where o.lang = c.lang and len(o.w) > len(string_split(c.phrase, ' '))
+      and contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ') and 100 * o.a >= 100 * c.a))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase)::bigint as rank,
+  phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from kept qualify rank <= {phrase_mining.TOP}"""
+
+
+ORACLE = {"op13_phrase_mining": _phrase_sql(), "op9_backoff_lm": _lm_sql(), "op4_license_scan": _license_sql(), "op10_poisson_mix": _mix_sql()}
