@@ -36,7 +36,7 @@ LOWERED = 0.6
 #: Bits of the proposals, a power of two; a fuller set lets more phrases be counted, never fewer.
 FILTER_BITS = 1 << 26
 #: Bytes of whole texts that are counted at a time, rows that one task ranks.
-SLICE_BYTES, RANKED_ROWS = 8 << 20, 50_000
+SLICE_BYTES, RANKED_ROWS = 2 << 20, 50_000
 _UNKNOWN = "und"
 
 _COUNTED = "lang string, phrase string, size int, n long, proposed boolean"
