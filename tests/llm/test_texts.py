@@ -9,10 +9,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
-from tokenizers import Tokenizer
 
 from tests.llm.corpus import SCHEMA, docs, empty, odd, words
 from tripmill.llm import language_kernel, phrase_mining, token_alignment
@@ -166,11 +166,17 @@ def test_alignment_equals_comparing_all_pairs(spark):
         assert [tuple(r)[1:] for r in sorted(got, key=lambda r: r.doc_id)] == want
 
 
-def test_groups_can_be_read_back():
-    coder = token_alignment._Coder(FIRST, SECOND)
-    made = token_alignment.align(coder, ["some wordsé and numbers 12345"])
-    encoded = Tokenizer.from_file(FIRST).encode(" some wordsé and numbers 12345", add_special_tokens=False).ids
-    assert made["n_a"][0] == len(encoded) and made["n_links"][0] == made["n_a"][0] + made["n_b"][0] - made["n_groups"][0]
+def test_stretches_are_encoded_as_within_their_text():
+    """No token of either tokenizer reaches across a cut."""
+    coder, rng = token_alignment._Coder(FIRST, SECOND), random.Random(9)
+    assert [token_alignment._stretches(pa.array(["a b", "", "c  d é f"]))[0].to_pylist()] == [[" a", " b", " ", " c  d", " é", " f"]]
+    letters = "aZ19.,'!_-éßÿ\u0100ɏɐ\u0301あ\U0001f600\u00a0\u2003\u0085\n\t       "
+    for _ in range(3_000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 25)))
+        flat, _ = token_alignment._stretches(pa.array([text]))
+        whole, parts = coder.encode([" " + text]), coder.encode(flat.to_pylist())
+        for side in (0, 1):
+            assert whole[side][0].tolist() == np.concatenate(parts[side]).tolist(), repr(text)
 
 
 def test_alignment_of_odd_rows(spark):

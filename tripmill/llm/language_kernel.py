@@ -93,9 +93,9 @@ def presences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     for row, text in enumerate(texts):
         at = 0
         while text and at < len(text):
-            end = at + PART_CHARS
+            end = min(at + PART_CHARS, len(text))
             if end < len(text):
-                end = max(text.rfind(" ", at, end) + 1, 0) or end
+                end = text.rfind(" ", at, end) + 1 or end
             rows.append(row), parts.append(text[at:end])
             size += end - at
             at = end

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,8 @@ from tripmill.llm.common import stored
 RUN = 64
 #: Bytes of whole texts that are encoded at a time, links of a block.
 SLICE_BYTES, BLOCK_LINKS = 2 << 20, 1_000_000
+#: Characters of distinct stretches that a worker keeps; all are dropped when there are more.
+MEMO_CHARS = 4_000_000
 #: Ids of the second tokenizer are below this, so a pair of ids is one number.
 SECOND_IDS = 1 << 17
 
@@ -105,6 +108,8 @@ class _Coder:
             bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         assert len(pieces) <= SECOND_IDS
+        # else a token could reach across the space between two words
+        assert not any("▁" in p.lstrip("▁") for p in pieces)
         self.tables = [pa.array(x, pa.binary()) for x in (first_bytes, second_bytes)]
         self.sizes = [np.array([len(b) for b in x], np.int64) for x in (first_bytes, second_bytes)]
         # an id's text with what follows it: the next id of its side, or the other side or group
@@ -114,15 +119,18 @@ class _Coder:
         self.starts = np.cumsum([0, size, size, len(pieces)])
 
     def encode(self, texts: list[str]) -> list[list[np.ndarray]]:
-        """For each side the ids of each text."""
-        first = [np.array(e.ids, np.int64) for e in self.first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        second = [np.array(x, np.int64) for x in self.second.encode(texts, num_threads=1)]
+        """For each side the ids of each text; the second puts the space before a text itself."""
+        first = [np.array(e.ids, np.int64) for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
+        second = [np.array(x, np.int64) for x in self.second.encode([t[1:] for t in texts], num_threads=1)]
         return [first, second]
 
-    def same_bytes(self, side: int, ids: np.ndarray, text: bytes) -> bool:
-        if self.sizes[side][ids].sum() != len(text):
-            return False
-        return self.tables[side].take(pa.array(ids)).buffers()[2].to_pybytes()[: len(text)] == text if len(ids) else not text
+    def agree(self, ids: list[np.ndarray], texts: list[bytes], side: int) -> list[bool]:
+        """Whether each text's ids join to its bytes."""
+        flat, stops = np.concatenate(ids), np.cumsum([len(x) for x in ids])
+        joined = self.tables[side].take(pa.array(flat)).buffers()[2]
+        joined = joined.to_pybytes() if joined else b""
+        ends = np.append(0, np.cumsum(self.sizes[side][flat]))[np.append(0, stops)].tolist()
+        return [joined[i:j] == text for i, j, text in zip(ends[:-1], ends[1:], texts, strict=True)]
 
 
 def _shown_bytes() -> list[str]:
@@ -132,18 +140,14 @@ def _shown_bytes() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
-_coders: dict[tuple[str, str], _Coder] = {}
+_memos: dict[tuple[str, str], _Aligned] = {}
 
 
-def _coder(first: str, second: str) -> _Coder:
+def _memo(first: str, second: str) -> _Aligned:
     """One for each pair of tokenizers and worker."""
-    if (first, second) not in _coders:
-        _coders[first, second] = _Coder(first, second)
-    return _coders[first, second]
-
-
-def _concat(arrays: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+    if (first, second) not in _memos:
+        _memos[first, second] = _Aligned(_Coder(first, second))
+    return _memos[first, second]
 
 
 def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,48 +157,76 @@ def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first[which]
 
 
-def align(coder: _Coder, texts: list[str | None]) -> dict[str, list | np.ndarray]:
-    """Counts and group hash of each text, and for all links (in the order of the texts) their id pairs.
+class _Aligned:
+    """Alignments of distinct stretches of text, each aligned once and kept.
 
-    Texts whose ids do not join to their bytes have no tokens.
+    Both tokenizers end a token before a space between two characters that are visible, so a text's
+    alignment is that of its stretches between such spaces, one after the other. Stretches repeat.
     """
-    ids = coder.encode([t or "" for t in texts])
-    # texts whose shorter list is the first tokenizer's, and the others
+
+    def __init__(self, coder: _Coder):
+        self.coder = coder
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.counts = np.zeros((0, 5), np.int64)  # n_a, n_b, n_groups, n_links, whether bytes agree
+        self.strings: list[str] = []
+        self.links = np.zeros(0, np.int64)
+        self.size = 0
+
+    def look_up(self, stretches: list[str]) -> np.ndarray:
+        """Row of each stretch."""
+        if self.size > MEMO_CHARS:
+            self.clear()
+        new = [x for x in stretches if x not in self.place]
+        if new:
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+            counts, strings, links = _align(self.coder, new)
+            self.counts = np.concatenate([self.counts, counts])
+            self.strings += strings
+            self.links = np.concatenate([self.links, links])
+            self.stops = np.cumsum(self.counts[:, 3])
+            self.size += sum(map(len, new))
+        return np.fromiter(map(self.place.__getitem__, stretches), np.int64, len(stretches))
+
+
+def _align(coder: _Coder, stretches: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Counts and groups of each stretch (which begins with a space), and the id pairs of all links in order."""
+    ids = coder.encode(stretches)
+    counts, strings = np.zeros((len(stretches), 5), np.int64), [""] * len(stretches)
+    # stretches whose shorter list is the first tokenizer's, and the others
     drivers: list[list[int]] = [[], []]
-    for i, text in enumerate(texts):
-        raw = b" " + text.encode("utf-8", "surrogatepass") if text else b""
-        if raw and all(coder.same_bytes(side, ids[side][i], raw) for side in (0, 1)):
+    raw = [x.encode() for x in stretches]
+    for i, same in enumerate(zip(*[coder.agree(own, raw, side) for side, own in enumerate(ids)], strict=True)):
+        if all(same):
             drivers[len(ids[0][i]) > len(ids[1][i])].append(i)
-        else:
-            ids[0][i] = ids[1][i] = np.zeros(0, np.int64)
-    counts = [np.array([len(x) for x in side], np.int64) for side in ids]
-    out = {"n_a": counts[0], "n_b": counts[1], "n_groups": np.zeros(len(texts), np.int64), "n_links": np.zeros(len(texts), np.int64)}
-    out["hashes"], links = [""] * len(texts), [np.zeros(0, np.int64)] * len(texts)
+    links = [np.zeros(0, np.int64)] * len(stretches)
     for side, chosen in enumerate(drivers):
         if not chosen:
             continue
-        # texts one after the other are one pair of lists: each text's last end is common to both
-        own, other = (_concat([ids[s][i] for i in chosen]) for s in (side, 1 - side))
-        n_own, n_other = counts[side][chosen], counts[1 - side][chosen]
+        # stretches one after the other are one pair of lists: the last end of each is common to both
+        own, other = (np.concatenate([ids[s][i] for i in chosen]) for s in (side, 1 - side))
+        n_own, n_other = (np.array([len(ids[s][i]) for i in chosen], np.int64) for s in (side, 1 - side))
         first, last, cut_own, cut_other = overlaps(np.cumsum(coder.sizes[side][own]), np.cumsum(coder.sizes[1 - side][other]))
         which, member = _runs(first, last)
         left, right = (own[which], other[member]) if side == 0 else (other[member], own[which])
-        pairs = left * SECOND_IDS + right
         stops = np.cumsum(n_own)
-        per_text = np.add.reduceat(last - first + 1, stops - n_own)
-        groups = np.diff(np.searchsorted(cut_own, stops - 1, side="right"), prepend=0)
-        strings = _group_texts(coder, side, own, other, cut_own, cut_other, stops, np.cumsum(n_other))
-        for i, found, n, m, text in zip(chosen, np.split(pairs, np.cumsum(per_text)[:-1]), per_text, groups, strings, strict=True):
-            links[i], out["n_links"][i], out["n_groups"][i] = found, n, m
-            out["hashes"][i] = hashlib.sha256(text.encode()).hexdigest()
-    out["links"] = links
-    return out
+        n_links = np.add.reduceat(last - first + 1, stops - n_own)
+        n_groups = np.diff(np.searchsorted(cut_own, stops - 1, side="right"), prepend=0)
+        n_a, n_b = (n_own, n_other) if side == 0 else (n_other, n_own)
+        counts[chosen] = np.stack([n_a, n_b, n_groups, n_links, np.ones(len(chosen), np.int64)], axis=1)
+        groups = _group_texts(coder, side, own, other, cut_own, cut_other, stops, np.cumsum(n_other))
+        pairs = np.split(left * SECOND_IDS + right, np.cumsum(n_links)[:-1])
+        for i, text, found in zip(chosen, groups, pairs, strict=True):
+            strings[i], links[i] = text, found
+    return counts, strings, np.concatenate(links)
 
 
 def _group_texts(
     coder: _Coder, side: int, own: np.ndarray, other: np.ndarray, cut_own: np.ndarray, cut_other: np.ndarray, *stops: np.ndarray
 ) -> list[str]:
-    """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
+    """The groups of each stretch as ``a1,a2|b1;a3|b2,b3``."""
     a, b, cut_a, cut_b, stop_a, stop_b = own, other, cut_own, cut_other, *stops
     if side:
         a, b, cut_a, cut_b, stop_a, stop_b = other, own, cut_other, cut_own, *stops[::-1]
@@ -213,16 +245,68 @@ def _group_texts(
     return ["".join(words[i:j])[:-1] for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _block(number: int, doc_ids: list, made: list[dict]) -> pa.RecordBatch:
+def _stretches(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the stretches of a space and each text, number of stretches before each text and at the end).
+
+    A space is a cut if ASCII signs, letters or digits, or letters of two bytes up to U+024F, stand on
+    both sides; no rule of either tokenizer looks across such a place.
+    """
+    spaced = pc.binary_join_element_wise(pa.scalar(""), texts.cast(pa.utf8()), " ")
+    offsets = np.frombuffer(spaced.buffers()[1], np.int32)[spaced.offset : spaced.offset + len(spaced) + 1].astype(np.int64)
+    data = spaced.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[: offsets[-1]]
+    signs = (raw > 0x20) & (raw < 0x7F)
+    lead = (raw >= 0xC3) & (raw <= 0xC8)
+    spaces = np.flatnonzero(raw[2:-1] == 0x20) + 2 if len(raw) > 3 else np.zeros(0, np.int64)
+    visible = (signs[spaces - 1] | lead[spaces - 2]) & (signs[spaces + 1] | lead[spaces + 1])
+    # the space put before a text is no cut within one, but its beginning
+    bounds = np.unique(np.concatenate([spaces[visible], offsets]))
+    flat = pa.Array.from_buffers(pa.utf8(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), data])
+    return flat, np.searchsorted(bounds, offsets)
+
+
+@dataclass
+class _Made:
+    """Alignments of a run of texts."""
+
+    counts: np.ndarray
+    hashes: list[str]
+    links: np.ndarray
+
+
+def align(memo: _Aligned, texts: pa.Array) -> _Made:
+    """Counts and group hash of each text, and the id pairs of all links in the order of the texts."""
+    flat, cuts = _stretches(pc.fill_null(texts, ""))
+    coded = flat.dictionary_encode()
+    rows = memo.look_up(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+    found = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(memo.counts[rows], axis=0)])
+    counts = found[cuts[1:]] - found[cuts[:-1]]
+    filled = pc.greater(pc.fill_null(pc.binary_length(texts), 0), 0).to_numpy(zero_copy_only=False)
+    good = filled & (counts[:, 4] == np.diff(cuts))
+    counts[~good] = 0
+    hashes = [""] * len(good)
+    for i in np.flatnonzero(good):
+        groups = ";".join(map(memo.strings.__getitem__, rows[cuts[i] : cuts[i + 1]].tolist()))
+        hashes[i] = hashlib.sha256(groups.encode()).hexdigest()
+    rows = rows[np.repeat(good, np.diff(cuts))]
+    stops = memo.stops[rows]
+    _, member = _runs(stops - memo.counts[rows, 3], stops - 1)
+    return _Made(counts[:, :4], hashes, memo.links[member])
+
+
+def _block(number: int, doc_ids: list, made: list[_Made]) -> pa.RecordBatch:
     """One row: the documents of a block, its distinct id pairs, and every link as a place among them."""
-    links = [x for m in made for x in m["links"]]
-    flat, sizes = _concat(links), np.array([len(x) for x in links], np.int64)
-    pairs, places = np.unique(flat, return_inverse=True)
+    counts = np.concatenate([m.counts for m in made])
+    codes, pairs = pd.factorize(np.concatenate([m.links for m in made]))
+    order = np.argsort(pairs)
+    places = np.empty_like(order)
+    places[order] = np.arange(len(order))
+    places, pairs = places[codes], pairs[order]
     # a document counts once for a pair, however often it holds it linked
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    once = np.unique(of * max(1, len(pairs)) + places) % max(1, len(pairs))
-    row = [number, doc_ids, *[np.concatenate([m[k] for m in made]) for k in ("n_a", "n_b", "n_groups", "n_links")]]
-    row += [[h for m in made for h in m["hashes"]], pairs, np.bincount(once, minlength=len(pairs)), places]
+    of = np.repeat(np.arange(len(counts)), counts[:, 3])
+    held = np.sort(of * max(1, len(pairs)) + places)
+    once = held[np.diff(held, prepend=-1) > 0] % max(1, len(pairs))
+    row = [number, doc_ids, *counts.T, [h for m in made for h in m.hashes], pairs, np.bincount(once, minlength=len(pairs)), places]
     kinds = [pa.int64(), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 2]
     names = [x.split(" ")[0] for x in _BLOCKS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
@@ -238,13 +322,13 @@ def _slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
 
 def _blocks(docs: DataFrame, first: str, second: str, block_links: int, slice_bytes: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, number, ids, made, size = _coder(first, second), TaskContext.get().partitionId() << 32, [], [], 0
+        memo, number, ids, made, size = _memo(first, second), TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in _slices(texts, slice_bytes):
-                made.append(align(coder, texts.slice(a, b - a).to_pylist()))
+                made.append(align(memo, texts.slice(a, b - a)))
                 ids += keys[a:b]
-                size += int(made[-1]["n_links"].sum())
+                size += len(made[-1].links)
                 if size >= block_links:
                     yield _block(number, ids, made)
                     number, ids, made, size = number + 1, [], [], 0
@@ -260,10 +344,8 @@ def _score(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     assert np.array_equal(answers["pair"].to_numpy(), block["pairs"])
     n, best = answers["n"].to_numpy(np.int64), answers["best"].to_numpy(bool)
     links, sizes = np.asarray(block["links"], np.int64), np.asarray(block["n_links"], np.int64)
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    total, most = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-    np.add.at(total, of, n[links])
-    np.add.at(most, of, best[links])
+    stops = np.cumsum(sizes)
+    total, most = (np.diff(np.append(0, np.cumsum(x[links]))[stops], prepend=0) for x in (n, best.astype(np.int64)))
     out = pd.DataFrame({"doc_id": pd.array([None if x is None or x != x else int(x) for x in block["doc_ids"]], dtype="Int64")})
     for name in ("n_a", "n_b", "n_groups", "n_links"):
         out[name] = block[name]
