@@ -260,7 +260,8 @@ def _stretches(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     spaces = np.flatnonzero(raw[2:-1] == 0x20) + 2 if len(raw) > 3 else np.zeros(0, np.int64)
     visible = (signs[spaces - 1] | lead[spaces - 2]) & (signs[spaces + 1] | lead[spaces + 1])
     # the space put before a text is no cut within one, but its beginning
-    bounds = np.unique(np.concatenate([spaces[visible], offsets]))
+    bounds = np.sort(np.concatenate([spaces[visible], offsets]))
+    bounds = bounds[np.diff(bounds, prepend=-1) > 0]
     flat = pa.Array.from_buffers(pa.utf8(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), data])
     return flat, np.searchsorted(bounds, offsets)
 
