@@ -124,18 +124,22 @@ def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a @ b.T) / own[0][:, None] / own[1][None, :]
 
 
-def fit_kernel(presence: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, penalty: float = PENALTY) -> Model:
-    """Landmarks are dealt to the languages in turn, in the order of the rows."""
+def _unpacked(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, axis=1).astype(np.float32)
+
+
+def fit_kernel(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, penalty: float = PENALTY) -> Model:
+    """Fit on packed presence rows. Landmarks are dealt to the languages in turn, in the order of the rows."""
     languages = sorted(set(langs))
     which = np.array([languages.index(x) for x in langs], np.int64)
     turn = np.empty(len(langs), np.int64)  # how many texts of its language come before each
     for i in range(len(languages)):
         turn[which == i] = np.arange((which == i).sum())
-    marks = presence[np.lexsort((which, turn))[:landmarks]]
+    marks = _unpacked(bits[np.lexsort((which, turn))[:landmarks]])
     values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
     kept = values > LEAST_EIGENVALUE * values.max(initial=0)
     root = vectors[:, kept] / np.sqrt(values[kept])
-    features = np.concatenate([kernel(presence[i : i + 1024], marks) for i in range(0, len(presence), 1024)]) @ root
+    features = np.concatenate([kernel(_unpacked(bits[i : i + 256]), marks) for i in range(0, len(bits), 256)]) @ root
     target = (which[:, None] == np.arange(len(languages))) - 1 / len(languages)
     # texts of a rare language weigh as much together as those of a frequent one
     weight = (1 / np.bincount(which))[which] * len(which) / len(languages)
@@ -167,8 +171,9 @@ def fit_languages(docs: DataFrame) -> Model | None:
     # the longest run of equal draws is of equal rows, which are alike to the fit
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     drawn = known.select("lang", "draw").withColumn("place", place).filter(F.col("place") <= each)
-    # ids of the draw first, texts after: only the sampled texts are shuffled
-    picked = known.join(drawn.select("lang", "draw").distinct(), ["lang", "draw"], "left_semi")
+    # at most SAMPLE pairs of numbers, so that only the sampled texts are shuffled
+    drawn = F.broadcast(drawn.select(F.xxhash64("lang").alias("of"), "draw").distinct())
+    picked = known.withColumn("of", F.xxhash64("lang")).join(drawn, ["of", "draw"], "left_semi")
     picked = picked.groupBy("lang", "draw").agg(F.max("text").alias("text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,8 +187,8 @@ def fit_languages(docs: DataFrame) -> Model | None:
     rows = rows.sort_by([("draw", "ascending"), ("lang", "ascending")])
     if not rows.num_rows:
         return None
-    packed = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint8).reshape(-1, BUCKETS // 8)
-    return fit_kernel(np.unpackbits(packed, axis=1).astype(np.float32), rows.column("lang").to_pylist())
+    bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint8).reshape(-1, BUCKETS // 8)
+    return fit_kernel(bits, rows.column("lang").to_pylist())
 
 
 def _held(doc_id: Column) -> Column:

@@ -1,14 +1,15 @@
 """Operator 13: collocations by Toivonen's sampling method.
 
 A sample of the documents proposes frequent phrases, level by level, at a lowered threshold. One pass
-over all documents then counts the proposed phrases and their negative border exactly: a phrase of k
-words is counted wherever its first and its last k - 1 words are proposed, so what was not proposed,
-but could be frequent, is counted too. A frequent phrase that was not proposed is a failure of the
+over all documents then counts the proposed phrases and their negative border: a phrase of k words
+is counted wherever its first and its last k - 1 words are proposed, so what was not proposed, but
+could be frequent, is counted too. A frequent phrase that was not proposed is a failure of the
 border; failures are added to the proposals and a further pass counts what they let through, until
 no pass finds any. Every part of a frequent phrase is frequent, so by then all of them are counted.
 
-Proposals are kept as a bit set of fixed size, by a hash of language and words. Two phrases that
-share a bit only mean that more is counted; counts themselves are of the words, never of hashes.
+These passes count by 64-bit keys of language and words, which can only count too much. A last pass
+counts the words themselves, of whatever has a frequent key. Proposals and frequent keys are bit sets
+of fixed size; phrases that share a bit only mean that more is counted.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ FILTER_BITS = 1 << 26
 SLICE_BYTES, RANKED_ROWS = 2 << 20, 50_000
 _UNKNOWN = "und"
 
-_COUNTED = "lang string, phrase string, size int, n long, proposed boolean"
+_COUNTED = "lang string, phrase string, size int, n long"
 #: Bits of one row of Spark's bitmap functions.
 _ROW_BITS = 32_768
 
@@ -69,6 +70,10 @@ class _Words:
     vocabulary: pa.Array
     piece: np.ndarray  # number of the piece a word stands in; pieces do not cross texts
     text: np.ndarray  # number of the text
+    langs: pa.Array | None = None
+    lang: np.ndarray | None = None  # place in ``langs``
+    ids: np.ndarray | None = None  # number of the (language, word)
+    keys: np.ndarray | None = None  # hash of the (language, word)
 
 
 def _words(texts: pa.Array) -> _Words:
@@ -99,22 +104,24 @@ def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
 
 
-def _count(
-    texts: pa.Array, langs: pa.Array, new: np.ndarray, old: np.ndarray | None, sizes: range
-) -> Iterator[tuple[int, np.ndarray, _Words, np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
-    """Per size: first places of the distinct phrases to be counted, their counts, keys and languages.
+def _keys(texts: pa.Array, langs: pa.Array) -> _Words:
+    """The words with their language: an exact number of each (language, word), and its key."""
+    words, langs = _words(texts), langs.dictionary_encode()
+    words.langs, words.lang = langs.dictionary, langs.indices.to_numpy().astype(np.int64)[words.text]
+    words.ids, at = _distinct(words.lang * len(words.vocabulary) + words.codes)
+    seeds = np.array([xxhash.xxh64_intdigest(x, seed=1) for x in words.langs.to_pylist()], np.uint64)
+    own = np.array([xxhash.xxh64_intdigest(x) for x in words.vocabulary.to_pylist()], np.uint64)
+    words.keys = _mixed((own[words.codes[at]] ^ seeds[words.lang[at]]) if len(at) else np.zeros(0, np.uint64))[words.ids]
+    return words
+
+
+def _count(words: _Words, new: np.ndarray, old: np.ndarray | None, sizes: range) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per size: the places and keys of the phrases to be counted.
 
     A phrase is counted where ``new`` holds its two longest parts and theirs, unless ``old`` did so.
     """
-    words, langs = _words(texts), langs.dictionary_encode()
-    n = len(words.codes)
-    lang = langs.indices.to_numpy().astype(np.int64)[words.text]
-    first, at = _distinct(lang * len(words.vocabulary) + words.codes)
-    seeds = np.array([xxhash.xxh64_intdigest(x, seed=1) for x in langs.dictionary.to_pylist()], np.uint64)
-    own = np.array([xxhash.xxh64_intdigest(x) for x in words.vocabulary.to_pylist()], np.uint64)
-    word_keys = _mixed((own[words.codes[at]] ^ seeds[lang[at]]) if n else np.zeros(0, np.uint64))[first]
-    ids, keys, everywhere = first, word_keys, np.ones(n, bool)
-    passed = [(bits, everywhere) for bits in (new, old) if bits is not None]
+    n, keys = len(words.codes), words.keys
+    passed = [(bits, np.ones(n, bool)) for bits in (new, old) if bits is not None]
     for size in range(1, sizes.stop):
         if size > 1:
             # places whose phrase of one word less, and the one after it, are both counted and held
@@ -128,18 +135,12 @@ def _count(
                     both[: n - size + 1] = held[: n - size + 1] & held[1 : n - size + 2] & whole
                 grown.append((bits, both))
             passed = grown
-            places = np.flatnonzero(passed[0][1])
-            longer, tail = np.full(n, -1, np.int64), first[places + size - 1]
-            longer[places], _ = _distinct(ids[places] * (first.max(initial=0) + 1) + tail)
-            ids, wider = longer, np.zeros(n, np.uint64)
-            wider[places] = _mixed(keys[places] * np.uint64(0x9E3779B97F4A7C15) + word_keys[places + size - 1])
-            keys = wider
+            places, longer = np.flatnonzero(passed[0][1]), np.zeros(n, np.uint64)
+            longer[places] = _mixed(keys[places] * np.uint64(0x9E3779B97F4A7C15) + words.keys[places + size - 1])
+            keys = longer
         if size in sizes:
-            wanted = passed[0][1] if len(passed) == 1 else passed[0][1] & ~passed[1][1]
-            places = np.flatnonzero(wanted)
-            codes, at = _distinct(ids[places])
-            at = places[at]
-            yield size, at, words, np.bincount(codes, minlength=len(at)), keys[at], lang[at], langs.dictionary
+            places = np.flatnonzero(passed[0][1] if len(passed) == 1 else passed[0][1] & ~passed[1][1])
+            yield size, places, keys[places]
 
 
 def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
@@ -150,28 +151,49 @@ def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
     return (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b)
 
 
-def _counts(texts: DataFrame, new: np.ndarray, old: np.ndarray | None, slice_bytes: int) -> DataFrame:
-    """lang, phrase, size, n, proposed of what ``new`` lets through and ``old`` did not."""
-    sizes = range(1 if old is None else 2, LONGEST + 1)
-    names = ["lang", "phrase", "size", "n", "proposed"]
+def _key_counts(texts: DataFrame, new: np.ndarray, old: np.ndarray | None, sizes: range, slice_bytes: int) -> DataFrame:
+    """key, open, n of what ``new`` lets through and ``old`` did not; open: not proposed, and not of the greatest length.
+
+    Two phrases with one key are counted together, so n is never too small.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _slices(batch, slice_bytes):
-                for size, at, words, n, keys, lang, langs in _count(part.column(1), part.column(0), new, old, sizes):
+                for size, _, keys in _count(_keys(part.column(1), part.column(0)), new, old, sizes):
+                    codes, at = _distinct(keys.view(np.int64))
+                    fresh = ~_holds(new, keys[at]) if size < LONGEST else np.zeros(len(at), bool)
+                    columns = [pa.array(keys[at].view(np.int64)), pa.array(fresh), pa.array(np.bincount(codes, minlength=len(at)))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "open", "n"])
+
+    rows = texts.mapInArrow(read, "key long, open boolean, n long")
+    return rows.groupBy("key", "open").agg(F.sum("n").alias("n"))
+
+
+def _phrase_counts(texts: DataFrame, held: np.ndarray, frequent: np.ndarray, slice_bytes: int) -> DataFrame:
+    """lang, phrase, size, n of what ``held`` lets through and ``frequent`` holds, by the words themselves."""
+    names = [x.split(" ")[0] for x in _COUNTED.split(", ")]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, slice_bytes):
+                words = _keys(part.column(1), part.column(0))
+                whole = np.bincount(words.lang, minlength=len(words.langs))
+                none = [pa.array([""] * len(whole)), pa.array(np.zeros(len(whole), np.int32)), pa.array(whole)]
+                # all words of each language, as the count of the phrase without words
+                yield pa.RecordBatch.from_arrays([words.langs, *none], names=names)
+                for size, places, keys in _count(words, held, None, range(1, LONGEST + 1)):
+                    places = places[_holds(frequent, keys)]
+                    ids, at = _distinct(words.ids[places])
+                    for i in range(1, size):
+                        ids, at = _distinct(ids * (len(words.codes) + 1) + words.ids[places + i])
+                    at = places[at]
                     parts = [words.vocabulary.take(pa.array(words.codes[at + i])) for i in range(size)]
-                    phrases = pc.binary_join_element_wise(*parts, " ")
-                    columns = [langs.take(pa.array(lang)), phrases, pa.array(np.full(len(at), size, np.int32))]
-                    columns += [pa.array(n.astype(np.int64)), pa.array(_holds(new, keys))]
+                    columns = [words.langs.take(pa.array(words.lang[at])), pc.binary_join_element_wise(*parts, " ")]
+                    columns += [pa.array(np.full(len(at), size, np.int32)), pa.array(np.bincount(ids, minlength=len(at)))]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
-                    if size == 1:
-                        # all words of each language, as the count of the phrase without words
-                        whole = np.bincount(lang, n, len(langs)).astype(np.int64)
-                        columns = [langs, pa.array([""] * len(langs)), pa.array([0] * len(langs), pa.int32()), pa.array(whole)]
-                        yield pa.RecordBatch.from_arrays([*columns, pa.array([True] * len(langs))], names=names)
 
-    rows = texts.mapInArrow(read, _COUNTED)
-    return rows.groupBy("lang", "phrase", "size", "proposed").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(read, _COUNTED).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 
 def _bits(keys: DataFrame, bits: int) -> np.ndarray:
@@ -190,15 +212,7 @@ def propose(texts: DataFrame, support: int, one_in: int, lowered: float, bits: i
     least = max(1, int(lowered * support / one_in))
     held = np.zeros(bits // 8, np.uint8)
     for size in range(1, LONGEST):
-
-        def read(batches: Iterator[pa.RecordBatch], size: int = size, held: np.ndarray = held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in _slices(batch, slice_bytes):
-                    for _, _, _, n, keys, _, _ in _count(part.column(1), part.column(0), held, None, range(size, size + 1)):
-                        columns = [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))]
-                        yield pa.RecordBatch.from_arrays(columns, names=["key", "n"])
-
-        counted = sample.mapInArrow(read, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        counted = _key_counts(sample, held, None, range(size, size + 1), slice_bytes)
         level = _bits(counted.filter(F.col("n") >= least), bits)
         if not level.any():
             break
@@ -225,40 +239,18 @@ def phrase_counts(
         F.xxhash64("doc_id", "text").alias("draw"),
     )
     held = propose(texts, support, one_in, lowered, bits, slice_bytes)
-    texts, old, found = texts.select("lang", "text"), None, []
+    texts, old, frequent = texts.select("lang", "text"), None, np.zeros(bits // 8, np.uint8)
     while True:
-        # what is rare is counted, and only then left out
-        counted = _counts(texts, held, old, slice_bytes)
-        found.append(stored(counted.filter((F.col("n") >= support) | (F.col("size") == 0)), "phrase-counts"))
-        failed = found[-1].filter(~F.col("proposed") & (F.col("size") < LONGEST))
-        more = _bits(_keyed(failed), bits)
-        if not more.any():
+        sizes = range(1 if old is None else 2, LONGEST + 1)
+        counted = _key_counts(texts, held, old, sizes, slice_bytes)
+        found = stored(counted.filter(F.col("n") >= support), "phrase-keys")
+        frequent = frequent | _bits(found, bits)
+        failures = _bits(found.filter("open"), bits)
+        if not failures.any():
             break
-        held, old = held | more, held
-    whole = found[0]
-    for later in found[1:]:
-        whole = whole.unionByName(later)
-    return whole.select("lang", "phrase", "size", "n")
-
-
-def _keyed(phrases: DataFrame) -> DataFrame:
-    """The phrases' keys, as ``_count`` makes them."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [phrase_key(a, b) for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64))], names=["key"])
-
-    return phrases.select("lang", "phrase").mapInArrow(read, "key long")
-
-
-def phrase_key(lang: str, phrase: str) -> int:
-    seed = np.uint64(xxhash.xxh64_intdigest(lang, seed=1))
-    words = _mixed(np.array([xxhash.xxh64_intdigest(w) for w in phrase.split(" ")], np.uint64) ^ seed)
-    key = words[:1]
-    for i in range(1, len(words)):
-        key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + words[i : i + 1])
-    return int(key[0])
+        held, old = held | failures, held
+    counted = _phrase_counts(texts, held, frequent, slice_bytes)
+    return counted.filter((F.col("n") >= support) | (F.col("size") == 0))
 
 
 def _joined(words: Column, start: Column, length: Column) -> Column:
@@ -331,9 +323,8 @@ def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, **samp
     columns are not read. Arithmetic is in whole numbers of up to 38 digits. A very long text is
     counted whole, by the task that reads it.
     """
-    counts = phrase_counts(docs, support, **sampling)
-    totals = counts.filter("size = 0").select("lang", "n")
-    frequent = stored(counts.filter("size > 0"), "phrase-frequent")
+    counts = stored(phrase_counts(docs, support, **sampling), "phrase-counts")
+    totals, frequent = counts.filter("size = 0").select("lang", "n"), counts.filter("size > 0")
     candidates = frequent.filter("size > 1")
     scored = _cuts(candidates, frequent, totals).join(_parts(candidates), ["lang", "phrase"], "left")
     kept = stored(scored.filter(F.coalesce("inside", F.lit(0)) < F.col("a")), "phrase-scored")

@@ -29,9 +29,9 @@ from tripmill.llm.common import stored
 #: Ends of the driving list that gallop one after the other; so many runs go side by side.
 RUN = 64
 #: Bytes of whole texts that are encoded at a time, links of a block.
-SLICE_BYTES, BLOCK_LINKS = 2 << 20, 1_000_000
+SLICE_BYTES, BLOCK_LINKS = 1 << 20, 300_000
 #: Characters of distinct stretches that a worker keeps; all are dropped when there are more.
-MEMO_CHARS = 4_000_000
+MEMO_CHARS = 2_000_000
 #: Ids of the second tokenizer are below this, so a pair of ids is one number.
 SECOND_IDS = 1 << 17
 
