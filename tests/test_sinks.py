@@ -127,14 +127,67 @@ def test_replayed_batch_counts_once(spark, tmp_path, changes):
 
 
 def test_compaction_keeps_the_state_and_yields_to_new_batches(spark, tmp_path, changes):
-    path, out = str(tmp_path / "log"), str(tmp_path / "compact")
+    path = str(tmp_path / "log")
     write = keyed.upsert_writer(path)
     write(changes(("1", 5), ("2", 1)), 0)
     write(changes(("1", 7)), 1)
-    keyed.compact(spark, path, out, TRIP_STATS, TRIP_STATS_KEY)
-    assert state(spark, out) == {"1": 7, "2": 1}
-    keyed.upsert_writer(out)(changes(("2", 9)), 0)
-    assert state(spark, out) == {"1": 7, "2": 9}
+    assert keyed.compact(spark, path, TRIP_STATS, TRIP_STATS_KEY) == 1
+    assert state(spark, path) == {"1": 7, "2": 1}
+    write(changes(("3", 4)), 2)
+    keyed.upsert_writer(path)(changes(("2", 9)), 0)
+    assert state(spark, path) == {"1": 7, "2": 9, "3": 4}
+    assert keyed.compact(spark, path, TRIP_STATS, TRIP_STATS_KEY) == 2
+    assert keyed.compact(spark, path, TRIP_STATS, TRIP_STATS_KEY) is None
+    # an older run that goes on does not undo the newer one
+    write(changes(("2", 1), ("4", 4)), 3)
+    assert state(spark, path) == {"1": 7, "2": 9, "3": 4, "4": 4}
+
+
+def test_compaction_rewrites_changed_buckets_only(spark, tmp_path, changes):
+    path = str(tmp_path / "log")
+    write = keyed.upsert_writer(path)
+    write(changes(*[(str(i), i) for i in range(40)]), 0)
+    keyed.compact(spark, path, TRIP_STATS, TRIP_STATS_KEY, buckets=8)
+    write(changes(("7", 70)), 1)
+    keyed.compact(spark, path, TRIP_STATS, TRIP_STATS_KEY, buckets=8)
+    assert len(list((tmp_path / "log/base/gen=1").glob("bucket=*"))) == 8
+    assert len(list((tmp_path / "log/base/gen=2").glob("bucket=*"))) == 1
+    assert state(spark, path) == {str(i): 70 if i == 7 else i for i in range(40)}
+
+
+def test_a_reader_outlives_the_next_compaction_and_old_files_go_after_it(spark, tmp_path, changes):
+    path = str(tmp_path / "log")
+    write = keyed.upsert_writer(path)
+    write(changes(("1", 1), ("2", 2)), 0)
+    reader = keyed.current_rows(spark, path, TRIP_STATS, TRIP_STATS_KEY)
+    for batch in range(1, 5):
+        keyed.compact(spark, path, TRIP_STATS, TRIP_STATS_KEY, buckets=1)
+        if batch == 1:
+            assert {r.vendor_id: r.trip_count for r in reader.collect()} == {"1": 1, "2": 2}
+        write(changes(("1", 10 * batch)), batch)
+    assert state(spark, path) == {"1": 40, "2": 2}
+    left = sorted(p.name for p in (tmp_path / "log/manifest").glob("gen=*"))
+    assert left == ["gen=3", "gen=4"] and not (tmp_path / "log/changes/run=1/batch_id=0").exists()
+
+
+def test_what_is_not_whole_is_not_seen(spark, tmp_path, changes):
+    path = str(tmp_path / "log")
+    write = keyed.upsert_writer(path)
+    write(changes(("1", 1)), 0)
+    # a batch whose writer stopped before its mark, and a compaction that stopped before its manifest
+    changes(("1", 99)).write.parquet(f"{path}/changes/run=1/batch_id=1")
+    changes(("1", 99)).selectExpr("*", "9L as run", "9L as batch_id", "0 as bucket").write.partitionBy("bucket").parquet(f"{path}/base/gen=1")
+    assert keyed.create_once(spark, f"{path}/claims/gen/1", "compaction")
+    assert state(spark, path) == {"1": 1}
+    assert keyed.compact(spark, path, TRIP_STATS, TRIP_STATS_KEY) == 2
+    assert state(spark, path) == {"1": 1}
+    write(changes(("1", 2)), 1)
+    assert state(spark, path) == {"1": 2}
+
+
+def test_runs_are_ordered_by_claim_and_known_by_their_checkpoint(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert [keyed.open_run(spark, path, x) for x in ("a", "b", "a", "", "")] == [1, 2, 1, 3, 4]
 
 
 def test_scratch_lies_in_the_named_folder(spark):

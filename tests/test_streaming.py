@@ -148,6 +148,19 @@ def test_upserts_keep_open_windows_current(spark, tmp_path):
     assert now == {("1", "00:00"): 3, ("2", "00:00"): 1, ("1", "00:05"): 1, ("2", "00:05"): 2, ("1", "00:10"): 2}
 
 
+def test_a_stream_goes_on_through_compactions(spark, tmp_path):
+    topic, out, offsets = (str(tmp_path / x) for x in ("topic", "stats", "offsets"))
+    for day in range(3):
+        send(topic, [msg(1, f"0{day}:01:00"), msg(2, "00:02:00")])
+        counts = stream_counts(spark, topic, lateness="30 days")
+        live.upsert_open(counts, out, offsets, available_now=True, keys=TRIP_STATS_KEY, compact_every=2).awaitTermination()
+    now = rows_of(current_rows(spark, out, TRIP_STATS, TRIP_STATS_KEY))
+    assert now == {("1", "00:00"): 1, ("1", "01:00"): 1, ("1", "02:00"): 1, ("2", "00:00"): 3}
+    # one checkpoint is one run, whatever the number of restarts
+    assert [p.name for p in (tmp_path / "stats/claims/run").glob("[0-9]*")] == ["1"]
+    assert list((tmp_path / "stats/manifest").glob("gen=*"))
+
+
 def test_a_topic_can_start_at_its_latest_files(spark, tmp_path):
     folder = str(tmp_path / "topic")
     send(folder, *BATCHES)

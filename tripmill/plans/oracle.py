@@ -504,5 +504,6 @@ ORACLE: dict[str, str] = {
         from lineitem where l_linestatus = '{STATUS["Green"]}' group by 1
     """,
     "stream_two_runs": _with("select * from windows", "windows"),
+    "stream_compacted": _with("select * from windows", "windows"),
     "tumble_proctime": "select event_type as vendor_id, count(*) as trip_count from events group by 1",
 }

@@ -529,6 +529,19 @@ def stream_two_runs(spark, sf_dir):
     return keyed.current_rows(spark, out, TRIP_STATS, TRIP_STATS_KEY)
 
 
+@query("events")
+def stream_compacted(spark, sf_dir):
+    """Counts kept by key over two checkpoints, a file at a time; every second batch compacts the log."""
+    out = scratch_dir(spark, "upserts")
+    for _ in range(2):
+        stream = windows.with_event_time(testtables.event_files(spark, sf_dir), "ts", "3650 days")
+        counts = windows.tumbling_counts(stream, "ts")
+        live.upsert_open(
+            counts, out, scratch_dir(spark, "offsets"), available_now=True, keys=TRIP_STATS_KEY, compact_every=2
+        ).awaitTermination()
+    return keyed.current_rows(spark, out, TRIP_STATS, TRIP_STATS_KEY)
+
+
 @query("lineitem")
 def stream_quarantine(spark, sf_dir):
     """A topic with broken texts and trips without a time: what is counted and what is kept apart."""

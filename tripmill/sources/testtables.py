@@ -108,6 +108,19 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_files(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """The events as a stream of several files in the order of time, one for each batch."""
+    events = table(spark, sf_dir, "events")
+
+    def write(root: str) -> str:
+        events.repartitionByRange(files, "ts").write.parquet(root)
+        return root
+
+    root = _once(spark, sf_dir, "event-files", write)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(root)
+    return stream.select(F.col("event_type").alias("vendor_id"), "ts", "value")
+
+
 def _once(spark: SparkSession, sf_dir: str, kind: str, write) -> tuple:
     """Input files that several queries read are written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, kind)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tripmill.sinks.keyed import upsert_writer
+from tripmill.sinks.keyed import compact, upsert_writer
 
 
 def append_closed(
@@ -22,13 +24,26 @@ def append_closed(
 
 
 def upsert_open(
-    counts: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    counts: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    keys: Sequence[str] = (),
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Store every changed window after each batch; ``sinks.keyed.current_rows`` reads them."""
+    """Store every changed window after each batch; ``sinks.keyed.current_rows`` reads them.
+
+    With ``compact_every`` the stream folds its log into the base after that many batches.
+    """
+    write, schema = upsert_writer(path, owner=checkpoint), counts.schema
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(batch.sparkSession, path, schema, keys)
+
     return _trigger(
-        counts.writeStream.outputMode("update")
-        .foreachBatch(upsert_writer(path))
-        .option("checkpointLocation", checkpoint),
+        counts.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint),
         available_now,
     ).start()
 
