@@ -3,7 +3,8 @@ from __future__ import annotations
 import json
 import os
 import time
-from datetime import datetime
+from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -15,6 +16,7 @@ from tripmill.schemas import TRIP_MESSAGE, TRIP_STATS, TRIP_STATS_KEY
 from tripmill.sinks.keyed import current_rows
 from tripmill.sources.topics import file_topic, publish_files
 from tripmill.streaming import live, messages, windows
+from tripmill.streaming.arrival import arrival_counts
 
 PICKUP = "lpep_pickup_datetime"
 
@@ -186,6 +188,30 @@ def test_processing_time_counts_every_row(spark, tmp_path):
     assert per_vendor == {"1": 4, "2": 3}
 
 
+def test_arrival_windows_close_without_further_input(spark, tmp_path):
+    topic, out, offsets = (str(tmp_path / x) for x in ("topic", "stats", "offsets"))
+    os.makedirs(topic)
+
+    def closed():
+        if not os.path.isdir(f"{out}/_spark_metadata"):
+            return {}
+        rows = spark.read.schema(TRIP_STATS).parquet(out).collect()
+        assert all(r.window_end - r.window_start == timedelta(seconds=2) and r.window_start.second % 2 == 0 for r in rows)
+        return Counter({v: sum(r.trip_count for r in rows if r.vendor_id == v) for v in {r.vendor_id for r in rows}})
+
+    def run(until):
+        vendors = spark.readStream.schema("vendor_id string").json(topic)
+        query = live.append_arrivals(arrival_counts(vendors, "2 seconds"), out, offsets)
+        live.stop_when(query, lambda: sum(closed().values()) >= until, 120)
+
+    send(topic, [{"vendor_id": "1"}, {"vendor_id": "1"}, {"vendor_id": None}])
+    run(3)
+    assert closed() == {"1": 2, None: 1}
+    send(topic, [{"vendor_id": "1"}])
+    run(4)
+    assert closed() == {"1": 3, None: 1}
+
+
 def test_published_text_is_what_the_topic_reads(spark, tmp_path):
     folder = str(tmp_path / "topic")
     sent = messages.trip_payload(raw(spark, [{}, {"VendorID": 2}], "Green"))

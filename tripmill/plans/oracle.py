@@ -504,6 +504,11 @@ ORACLE: dict[str, str] = {
         from lineitem where l_linestatus = '{STATUS["Green"]}' group by 1
     """,
     "stream_two_runs": _with("select * from windows", "windows"),
+    "stream_arrival_windows": """
+        select event_type as vendor_id, cast(count(*) as bigint) as trip_count, 2000000::bigint as shortest,
+               2000000::bigint as longest, 0::bigint as off_grid, 0::bigint as repeated
+        from events group by event_type
+    """,
     "stream_compacted": _with("select * from windows", "windows"),
     "tumble_proctime": "select event_type as vendor_id, count(*) as trip_count from events group by 1",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,7 @@ from tripmill.session import prepare, scratch_dir
 from tripmill.sinks import keyed, tables
 from tripmill.sources import events as event_source
 from tripmill.sources import months, testtables, topics, zones
-from tripmill.streaming import live, messages, windows
+from tripmill.streaming import arrival, live, messages, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -576,3 +577,31 @@ def tumble_proctime(spark, sf_dir):
     stream = windows.with_arrival_time(testtables.event_stream(spark, sf_dir))
     stats = _run_upsert(spark, windows.tumbling_counts(stream, "proc_time"))
     return stats.groupBy("vendor_id").agg(F.sum("trip_count").alias("trip_count"))
+
+
+@query("events")
+def stream_arrival_windows(spark, sf_dir):
+    """Windows by arrival time that close by themselves: per vendor all rows, and what holds for every window."""
+    seconds, out = 2, scratch_dir(spark, "arrivals")
+    counts = arrival.arrival_counts(testtables.event_files(spark, sf_dir), f"{seconds} seconds")
+    rows = testtables.table(spark, sf_dir, "events").count()
+    query_ = live.append_arrivals(counts, out, scratch_dir(spark, "offsets"))
+
+    def closed():
+        # the sink's folder has no schema of its own before the first batch
+        try:
+            return spark.read.schema(TRIP_STATS).parquet(out)
+        except AnalysisException as err:
+            if "PATH_NOT_FOUND" not in str(err):
+                raise
+            return spark.createDataFrame([], TRIP_STATS)
+
+    live.stop_when(query_, lambda: (closed().agg(F.sum("trip_count")).first()[0] or 0) >= rows)
+    start, end = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("window_start", "window_end"))
+    return closed().groupBy("vendor_id").agg(
+        F.sum("trip_count").alias("trip_count"),
+        F.min(end - start).alias("shortest"),
+        F.max(end - start).alias("longest"),
+        F.max(F.pmod(start, F.lit(seconds * 1_000_000))).alias("off_grid"),
+        (F.count("*") - F.count_distinct("window_start")).alias("repeated"),
+    )
