@@ -227,3 +227,53 @@ def test_files_of_a_month_may_differ_in_type(spark, tmp_path):
     spark.sql("select 2.5D as a").write.mode("append").parquet(base)
     merged = align.merge_months(spark, str(tmp_path) + "/ym={ym}", ["2019-01"])
     assert sorted(r.a for r in merged.collect()) == [1.0, 2.5]
+
+
+def _month(path, **columns):
+    pq.write_table(pa.table({k: pa.array(v, t) for k, (v, t) in columns.items()}), path)
+
+
+def test_integers_that_doubles_hold_widen_and_others_are_refused(spark, tmp_path):
+    template = f"{tmp_path}/m_{{ym}}.parquet"
+    _month(tmp_path / "m_2020-01.parquet", n=([1.5], pa.float64()))
+    _month(tmp_path / "m_2020-02.parquet", n=([2**53, -(2**53), None], pa.int64()))
+    merged = align.merge_months(spark, template, ["2020-01", "2020-02"])
+    assert {r.n for r in merged.collect()} == {1.5, float(2**53), -float(2**53), None}
+    _month(tmp_path / "m_2020-03.parquet", n=([7, 2**53 + 1], pa.int64()))
+    with pytest.raises(ValueError, match="'n' of .*m_2020-03"):
+        align.merge_months(spark, template, ["2020-01", "2020-02", "2020-03"])
+    # without a float among the files nothing is widened
+    only = align.merge_months(spark, template, ["2020-02", "2020-03"])
+    assert 2**53 + 1 in {r.n for r in only.collect()}
+
+
+def test_the_look_for_large_integers_reaches_the_scan(spark, tmp_path):
+    _month(tmp_path / "m.parquet", n=([1], pa.int64()), other=([1], pa.int64()))
+    found = align.inexact_values(spark.read.parquet(f"{tmp_path}/m.parquet"), ddl("n double, other long"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(n,9007199254740992)" in plan and "ReadSchema: struct<n:bigint>" in plan
+    assert align.inexact_values(spark.read.parquet(f"{tmp_path}/m.parquet"), ddl("n long, other long")) is None
+
+
+def test_names_are_compared_without_case(spark, tmp_path):
+    template = f"{tmp_path}/m_{{ym}}.parquet"
+    _month(tmp_path / "m_2020-01.parquet", VendorID=([1], pa.int64()), Fee=([1.0], pa.float64()))
+    _month(tmp_path / "m_2020-02.parquet", vendorid=([2], pa.int32()), FEE=([2], pa.int64()), t=([0], pa.int64()))
+    merged = align.merge_months(spark, template, ["2020-01", "2020-02"], ["T"])
+    assert merged.columns == ["VendorID", "Fee", "t"]
+    assert {(r.VendorID, r.Fee) for r in merged.collect()} == {(1, 1.0), (2, 2.0)}
+
+
+def test_months_are_listed_without_reading(spark, tmp_path):
+    for ym in ("2020-01", "2020-03"):
+        (tmp_path / f"ym={ym}").mkdir()
+        (tmp_path / f"ym={ym}" / "part.parquet").write_bytes(b"no parquet at all")
+    (tmp_path / "ym=2020-02").mkdir()
+    (tmp_path / "ym=2020-02" / "part.parquet").write_bytes(b"")
+    (tmp_path / "ym=merged").mkdir()
+    (tmp_path / "ym=merged" / "part.parquet").write_bytes(b"x")
+    listed = months.listed_months(spark, f"{tmp_path}/ym={{ym}}")
+    assert sorted((r.ym, r.files, r.bytes) for r in listed.collect()) == [("2020-01", 1, 17), ("2020-03", 1, 17)]
+    for ym in ("2021-05", "2021-06"):
+        (tmp_path / f"green_{ym}.parquet").write_bytes(b"x")
+    assert {r.ym for r in months.listed_months(spark, f"{tmp_path}/green_{{ym}}.parquet").collect()} == {"2021-05", "2021-06"}

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,19 +18,24 @@ def value(spark, col, ddl="x int", data=((1,),)):
     return spark.createDataFrame(data, ddl).select(col.alias("v")).first().v
 
 
-@pytest.mark.parametrize(
-    "first, last, expected",
-    [
-        ("2016-02", "2016-02", ["2016-02"]),
-        ("2023-01", "2023-12", ["2023-" + str(100 + m)[1:] for m in range(1, 13)]),
-        ("2021-12", "2022-01", ["2021-12", "2022-01"]),
-        ("2022-06", "2022-05", []),
-    ],
-)
-def test_month_range(spark, first, last, expected):
-    assert month_keys(first, last) == expected
-    bounds = spark.sql(f"select date '{first}-17' as a, date '{last}-05' as b")
-    assert [r.ym for r in month_calendar(bounds, "a", "b").orderBy("ym").collect()] == expected
+def test_month_keys_agree_with_calendar_periods():
+    rng = random.Random(12)
+    for _ in range(200):
+        start = pd.Period(f"{rng.randint(1900, 2100)}-{rng.randint(1, 12):02d}", "M")
+        end = start + rng.randint(-3, 40)
+        assert month_keys(str(start), str(end)) == [str(p) for p in pd.period_range(start, end, freq="M")]
+
+
+def test_month_calendar_covers_the_months_of_its_bounds(spark):
+    """Bounds are days; the month of each counts whole, leap days and ends of years included."""
+    bounds = {
+        ("2024-02-29", "2024-02-29"): ["2024-02"],
+        ("1999-12-31", "2000-03-01"): ["1999-12", "2000-01", "2000-02", "2000-03"],
+        ("2031-07-02", "2031-06-30"): [],
+    }
+    for (first, last), months in bounds.items():
+        days = spark.sql(f"select date '{first}' as a, date '{last}' as b")
+        assert sorted(r.ym for r in month_calendar(days, "a", "b").collect()) == months
 
 
 def test_hour_keys_have_no_padding():

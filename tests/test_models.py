@@ -10,6 +10,7 @@ from trips import raw, zones
 
 from tripmill.operators import core, marts, serving, staging
 from tripmill.plans.warehouse import ChecksFailed, build_and_check, build_models, facts
+from tripmill.sinks.tables import write_by_month
 from tripmill.sources.zones import read_zone_seed
 
 STAGED = [
@@ -326,3 +327,15 @@ def test_a_failing_check_stops_the_build(spark):
     _, report = build_and_check(spark, bad, zones(spark), "gate_test", report_only=True)
     assert report.where("not passed").count() > 0
     spark.sql("DROP DATABASE gate_test CASCADE")
+
+
+def test_a_mart_stored_by_month_is_pruned_by_the_filter(spark, tmp_path):
+    mart = spark.sql(
+        "select timestamp_ntz'2020-01-01' + make_ym_interval(0, cast(id as int)) as revenue_month, 'Green' as service_type, id from range(12)"
+    )
+    write_by_month(mart, str(tmp_path), "revenue_month")
+    stored = spark.read.schema("revenue_month timestamp_ntz, service_type string, id long, ym string").parquet(str(tmp_path))
+    kept = serving.filter_mart(stored, "2020-03-01", "2020-04-30", "Green")
+    assert sorted(r.id for r in kept.collect()) == [2, 3] and kept.columns == mart.columns
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ym" in plan and "(ym#" in plan.split("PartitionFilters")[1].split("]")[0]

@@ -77,6 +77,26 @@ def test_overwrite_replaces_and_append_adds(spark, tmp_path):
     assert spark.read.parquet(out).count() == 6
 
 
+@pytest.mark.parametrize("grain, column", [("day", "pickup_date"), ("month", "pickup_month")])
+def test_a_reload_replaces_its_own_partitions(spark, grain, column):
+    def trips(*rows):
+        return spark.createDataFrame([(v, datetime(*t) if t else None) for v, *t in rows], "VendorID long, t timestamp_ntz").withColumn(
+            "PULocationID", F.lit(7)
+        )
+
+    name = f"reload_{grain}.trips"
+    tables.ensure_database(spark, f"reload_{grain}")
+    tables.load_catalog(trips((1, 2020, 1, 5), (2, 2020, 1, 5), (3, 2020, 2, 6), (4,)), name, "t", grain)
+    loaded = tables.load_catalog(trips((9, 2020, 1, 5)), name, "t", grain)
+    assert sorted(r.VendorID for r in loaded.collect()) == [3, 4, 9]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    one = loaded.where(F.col(column) == F.lit("2020-02-01" if grain == "month" else "2020-02-06").cast("date"))
+    assert [r.VendorID for r in one.collect()] == [3]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({column}" in plan and len(one.inputFiles()) == 1
+    spark.sql(f"drop database reload_{grain} cascade")
+
+
 def test_export_is_bounded_ordered_and_keeps_nulls(spark, tmp_path):
     out = str(tmp_path / "e")
     df = spark.createDataFrame([(i, None) for i in range(200, 0, -1)], "id int, note string")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.functions.scalars import money_sum
+from tripmill.sinks.tables import MONTH_COLUMN
 
 
 def monthly_totals(zone_mart: DataFrame) -> DataFrame:
@@ -34,7 +35,12 @@ def top_zones(zone_mart: DataFrame, n: int = 5) -> DataFrame:
 def filter_mart(
     mart: DataFrame, first_month: str, last_month: str, service_type: str | None = None
 ) -> DataFrame:
-    """Dashboard filters: months from first to last (``YYYY-MM-DD``), optionally one service."""
+    """Dashboard filters: months from first to last (``YYYY-MM-DD``), optionally one service.
+
+    Of a mart stored by month only the months in question are read.
+    """
+    if MONTH_COLUMN in mart.columns:
+        mart = mart.where(F.col(MONTH_COLUMN).between(first_month[:7], last_month[:7])).drop(MONTH_COLUMN)
     kept = mart.where(
         F.col("revenue_month").between(
             F.lit(first_month).cast("timestamp_ntz"), F.lit(last_month).cast("timestamp_ntz")

@@ -147,19 +147,19 @@ def _with(sql: str, *blocks: str) -> str:
 _second, _third = DRIFT_YEARS
 
 _MERGED = f"""
-    select "VendorID", tpep_pickup_datetime, tpep_dropoff_datetime,
+    select '{{service}}' as service_type, "VendorID", {{pickup}} as pickup, {{dropoff}} as dropoff,
            cast(passenger_count as double) as passenger_count, trip_distance, "RatecodeID",
            "PULocationID", "DOLocationID", cast(payment_type as double) as payment_type,
            {', '.join(MONEY_COLUMNS)},
-           case when year(tpep_pickup_datetime) >= {_second} then congestion_surcharge end as congestion_surcharge,
-           case when year(tpep_pickup_datetime) >= {_third} then airport_fee end as airport_fee
-    from raw_yellow
+           case when year({{pickup}}) >= {_second} then congestion_surcharge end as congestion_surcharge,
+           case when year({{pickup}}) >= {_third} then airport_fee end as airport_fee
+    from {{raw}}
 """
 
 _MERGED_TYPES = {
     "VendorID": "bigint",
-    "tpep_pickup_datetime": "timestamp_ntz",
-    "tpep_dropoff_datetime": "timestamp_ntz",
+    "pickup": "timestamp_ntz",
+    "dropoff": "timestamp_ntz",
     "passenger_count": "double",
     "trip_distance": "double",
     "RatecodeID": "double",
@@ -178,8 +178,9 @@ _MERGED_TYPES = {
 }
 
 _UNIFIED = " union all ".join(
-    f"select cast({i} as bigint) as position, '{c}' as column_name, '{t}' as type_name, "
-    f'count("{c}") as non_null from merged'
+    f"select '{{service}}' as service_type, cast({i} as bigint) as position, "
+    f"'{ {'pickup': '{pickup}', 'dropoff': '{dropoff}'}.get(c, c)}' as column_name, '{t}' as type_name, "
+    f'count("{c}") as non_null from ({_MERGED})'
     for i, (c, t) in enumerate(_MERGED_TYPES.items())
 )
 
@@ -232,7 +233,7 @@ def _both(select: str) -> str:
     """A select for each service, with {raw}, {pickup} and the service's name filled in."""
     return _with(
         " union all ".join(
-            select.format(raw=f"raw_{s.lower()}", pickup=p, service=s) for s, (p, _) in SERVICES.items()
+            select.format(raw=f"raw_{s.lower()}", pickup=p, dropoff=d, service=s) for s, (p, d) in SERVICES.items()
         ),
         "raw_yellow",
         "raw_green",
@@ -254,9 +255,8 @@ _PIVOT = ", ".join(
 
 ORACLE: dict[str, str] = {
     # sources and ingest
-    "scan_trips": _with(
-        'select "VendorID", lpep_pickup_datetime, "PULocationID", trip_distance, total_amount from raw_green',
-        "raw_green",
+    "scan_trips": _both(
+        'select \'{service}\' as service_type, "VendorID", {pickup} as pickup, "PULocationID", trip_distance, total_amount from {raw}'
     ),
     "month_calendar_keys": """
         select strftime(m, '%Y-%m') as ym from (
@@ -264,41 +264,47 @@ ORACLE: dict[str, str] = {
                                           date_trunc('month', max(l_shipdate)), interval 1 month)) as m
             from lineitem)
     """,
-    "month_coverage": _with(
+    "month_coverage": _both(
+        """
+        select '{service}' as service_type, strftime(m, '%Y-%m') as ym from (
+            select unnest(generate_series(date_trunc('month', min({pickup})) - interval 2 month,
+                                          date_trunc('month', max({pickup})) + interval 2 month, interval 1 month)) as m
+            from {raw})
+        where not exists (select 1 from {raw} where date_trunc('month', {pickup}) = m)
         """
-        select ym from (
-            select strftime(unnest(generate_series(
-                       date_trunc('month', min(tpep_pickup_datetime)) - interval 2 month,
-                       date_trunc('month', max(tpep_pickup_datetime)) + interval 2 month,
-                       interval 1 month)), '%Y-%m') as ym
-            from raw_yellow)
-        where ym not in (select strftime(tpep_pickup_datetime, '%Y-%m') from raw_yellow)
-        """,
-        "raw_yellow",
     ),
     "dim_zones": _with("select * from zones", "zones"),
-    "schema_unify": _with(f"select * from ({_UNIFIED.replace('from merged', f'from ({_MERGED})')})", "raw_yellow"),
-    "schema_align": _with(
+    "schema_unify": _both(_UNIFIED),
+    "schema_align": _both(
         """
         select cast(trunc(fare_amount) as bigint) as fare_amount, cast(trunc("RatecodeID") as bigint) as "RatecodeID",
                cast("VendorID" as double) as "VendorID", cast(null as double) as ehail_fee,
-               cast(passenger_count as bigint) as passenger_count, lpep_pickup_datetime
-        from raw_green
-        """,
-        "raw_green",
+               cast(passenger_count as bigint) as passenger_count, {pickup} as pickup, '{service}' as service_type
+        from {raw}
+        """
     ),
     "ts_normalize": "select l_orderkey, l_shipdate as tpep_pickup_datetime, l_shipdate as tpep_dropoff_datetime from lineitem",
-    "merge_months": _with(_MERGED, "raw_yellow"),
-    "load_schema": _with(
-        "select * replace (cast(passenger_count as bigint) as passenger_count) from raw_green", "raw_green"
+    "merge_months": _both(_MERGED),
+    "load_schema": _both(
+        """
+        select * exclude ({pickup}, {dropoff}) replace (cast(passenger_count as bigint) as passenger_count),
+               {pickup} as pickup, {dropoff} as dropoff, '{service}' as service_type
+        from {raw}
+        """
     ),
-    "profile_years": _with(
+    "profile_years": _both(
+        """
+        select cast(min(year({pickup})) as bigint) as min_year, cast(max(year({pickup})) as bigint) as max_year,
+               count(*) as row_count, '{service}' as service_type
+        from {raw}
+        """
+    ),
+    "catalog_reload": _both(
+        """
+        select '{service}' as service_type, strftime({pickup}, '%Y-%m') as ym, count(*) as trips,
+               cast(sum(passenger_count) as bigint) as passengers
+        from {raw} group by 2
         """
-        select cast(min(year(tpep_pickup_datetime)) as bigint) as min_year,
-               cast(max(year(tpep_pickup_datetime)) as bigint) as max_year, count(*) as row_count
-        from raw_yellow
-        """,
-        "raw_yellow",
     ),
     "partitioned_write": _with(
         """

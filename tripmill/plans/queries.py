@@ -70,8 +70,30 @@ def _zone_mart(spark, sf_dir):
     return marts.monthly_zone_revenue(_facts(spark, sf_dir))
 
 
+def _stored_mart(spark, sf_dir):
+    """The zone mart as dashboards find it: stored by month."""
+    return testtables.stored_by_month(spark, sf_dir, "zone-mart", lambda: _zone_mart(spark, sf_dir), "revenue_month")
+
+
 def _citywide(spark, sf_dir):
-    return marts.citywide_monthly(_zone_mart(spark, sf_dir))
+    return marts.citywide_monthly(_stored_mart(spark, sf_dir))
+
+
+def _one_name(df, service):
+    """A service's rows with the service, and its times under common names."""
+    pickup, dropoff = SERVICES[service]
+    named = df.withColumnRenamed(pickup, "pickup").withColumnRenamed(dropoff, "dropoff")
+    return named.withColumn("service_type", F.lit(service))
+
+
+def _merged(spark, sf_dir, service):
+    return align.merge_months(spark, *testtables.drifting_months(spark, sf_dir, service), SERVICES[service])
+
+
+def _per_service(part):
+    """What ``part`` gives for each service, one under the other."""
+    parts = [part(s) for s in SERVICES]
+    return parts[0].unionByName(parts[1])
 
 
 def _event_counts(spark, sf_dir):
@@ -90,9 +112,14 @@ def _archive(spark, sf_dir):
 @query("lineitem")
 def scan_trips(spark, sf_dir):
     """Scan of a monthly file set with one schema."""
-    return months.scan_months(spark, *testtables.uniform_months(spark, sf_dir)).select(
-        "VendorID", "lpep_pickup_datetime", "PULocationID", "trip_distance", "total_amount"
-    )
+
+    def scan(service):
+        trips = months.scan_months(spark, *testtables.uniform_months(spark, sf_dir, service))
+        return _one_name(trips, service).select(
+            "service_type", "VendorID", "pickup", "PULocationID", "trip_distance", "total_amount"
+        )
+
+    return _per_service(scan)
 
 
 @query("lineitem")
@@ -105,14 +132,18 @@ def month_calendar_keys(spark, sf_dir):
 
 @query("lineitem")
 def month_coverage(spark, sf_dir):
-    """Months without trips, two months around the data included."""
-    trips = testtables.raw_trips(spark, sf_dir, "Yellow")
-    observed = months.observed_months(trips, "tpep_pickup_datetime")
-    # bounds come from the few observed months, so both sides share one pass over the trips
-    bounds = observed.agg(
-        F.add_months(F.min("month"), -2).alias("first"), F.add_months(F.max("month"), 2).alias("last")
-    )
-    return months.missing_months(month_calendar(bounds, "first", "last"), observed)
+    """Months without a file, two months around the files included; no file is opened."""
+
+    def absent(service):
+        template, _ = testtables.uniform_months(spark, sf_dir, service)
+        listed = months.listed_months(spark, template)
+        first = F.to_date(F.concat("ym", F.lit("-01")))
+        bounds = listed.agg(F.add_months(F.min(first), -2).alias("first"), F.add_months(F.max(first), 2).alias("last"))
+        return months.missing_months(month_calendar(bounds, "first", "last"), listed).select(
+            F.lit(service).alias("service_type"), "ym"
+        )
+
+    return _per_service(absent)
 
 
 @query("nation", "region")
@@ -124,19 +155,23 @@ def dim_zones(spark, sf_dir):
 @query("lineitem")
 def schema_unify(spark, sf_dir):
     """The unified schema of the drifting months, with each column's non-null count."""
-    template, keys = testtables.drifting_months(spark, sf_dir)
-    merged = align.merge_months(spark, template, keys, SERVICES["Yellow"])
-    counts = merged.agg(*[F.count(c).alias(c) for c in merged.columns])
-    rows = [
-        F.struct(
-            F.lit(i).cast("bigint").alias("position"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("type_name"),
-            F.col(f.name).alias("non_null"),
-        )
-        for i, f in enumerate(merged.schema.fields)
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+
+    def columns(service):
+        merged = _merged(spark, sf_dir, service)
+        counts = merged.agg(*[F.count(c).alias(c) for c in merged.columns])
+        rows = [
+            F.struct(
+                F.lit(service).alias("service_type"),
+                F.lit(i).cast("bigint").alias("position"),
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("type_name"),
+                F.col(f.name).alias("non_null"),
+            )
+            for i, f in enumerate(merged.schema.fields)
+        ]
+        return counts.select(F.inline(F.array(*rows)))
+
+    return _per_service(columns)
 
 
 @query("lineitem")
@@ -149,10 +184,11 @@ def schema_align(spark, sf_dir):
             T.StructField("VendorID", T.DoubleType()),
             T.StructField("ehail_fee", T.DoubleType()),
             T.StructField("passenger_count", T.LongType()),
-            T.StructField("lpep_pickup_datetime", T.TimestampNTZType()),
+            T.StructField("pickup", T.TimestampNTZType()),
+            T.StructField("service_type", T.StringType()),
         ]
     )
-    return align.align_to_schema(testtables.raw_trips(spark, sf_dir, "Green"), target)
+    return _per_service(lambda s: align.align_to_schema(_one_name(testtables.raw_trips(spark, sf_dir, s), s), target))
 
 
 @query("lineitem")
@@ -168,21 +204,23 @@ def ts_normalize(spark, sf_dir):
 
 @query("lineitem")
 def merge_months(spark, sf_dir):
-    template, keys = testtables.drifting_months(spark, sf_dir)
-    return align.merge_months(spark, template, keys, SERVICES["Yellow"])
+    return _per_service(lambda s: _one_name(_merged(spark, sf_dir, s), s))
 
 
 @query("lineitem")
 def load_schema(spark, sf_dir):
     """Raw trips in the warehouse's types."""
-    return load_types(testtables.raw_trips(spark, sf_dir, "Green"))
+    return _per_service(lambda s: _one_name(load_types(testtables.raw_trips(spark, sf_dir, s)), s))
 
 
 @query("lineitem")
 def profile_years(spark, sf_dir):
-    template, keys = testtables.drifting_months(spark, sf_dir)
-    merged = align.merge_months(spark, template, keys, SERVICES["Yellow"])
-    return align.profile_years(merged, "tpep_pickup_datetime")
+
+    def profile(service):
+        years = align.profile_years(_merged(spark, sf_dir, service), SERVICES[service][0])
+        return years.withColumn("service_type", F.lit(service))
+
+    return _per_service(profile)
 
 
 @query("lineitem")
@@ -197,6 +235,27 @@ def partitioned_write(spark, sf_dir):
     )
 
 
+@query("lineitem")
+def catalog_reload(spark, sf_dir):
+    """A catalog table by month of both services, in which one month, first loaded wrong, is loaded again."""
+    database, again = f"trips_{uuid.uuid4().hex[:12]}", "1999-03"
+    place, out = scratch_dir(spark, database), scratch_dir(spark, "reloaded")
+    trips = _both(spark, sf_dir)
+    wrong = F.date_format("pickup", "yyyy-MM") == again
+    try:
+        tables.ensure_database(spark, database, place)
+        first = trips.withColumn("passenger_count", F.when(wrong, -1).otherwise(F.col("passenger_count")))
+        tables.load_catalog(first, f"{database}.trips", "pickup", "month")
+        loaded = tables.load_catalog(marts.month_range(trips, "pickup", again), f"{database}.trips", "pickup", "month")
+        by_month = loaded.groupBy("service_type", F.date_format("pickup_month", "yyyy-MM").alias("ym")).agg(
+            F.count("*").alias("trips"), F.sum("passenger_count").cast("bigint").alias("passengers")
+        )
+        by_month.write.parquet(out)
+        return spark.read.schema(by_month.schema).parquet(out)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
+
 @query("lineitem")
 def trip_payload(spark, sf_dir):
     return messages.trip_payload(testtables.raw_trips(spark, sf_dir, "Green"))
@@ -289,17 +348,17 @@ def service_type_totals(spark, sf_dir):
 
 @query("lineitem", "nation", "region")
 def monthly_totals(spark, sf_dir):
-    return serving.monthly_totals(_zone_mart(spark, sf_dir))
+    return serving.monthly_totals(_stored_mart(spark, sf_dir))
 
 
 @query("lineitem", "nation", "region")
 def top_zones(spark, sf_dir):
-    return serving.top_zones(_zone_mart(spark, sf_dir))
+    return serving.top_zones(_stored_mart(spark, sf_dir))
 
 
 @query("lineitem", "nation", "region")
 def mart_filtered(spark, sf_dir):
-    return serving.filter_mart(_zone_mart(spark, sf_dir), "1998-01-01", "1999-12-31", "Green")
+    return serving.filter_mart(_stored_mart(spark, sf_dir), "1998-01-01", "1999-12-31", "Green")
 
 
 @query("lineitem", "nation", "region")

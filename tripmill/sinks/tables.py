@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 CLUSTER_COLUMNS = ("VendorID", "PULocationID")
 DAY_COLUMN = "pickup_date"
+MONTH_COLUMN = "ym"
 JSON_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 # How each layer is stored.
@@ -36,6 +37,37 @@ def write_by_day(
     )
 
 
+def load_catalog(
+    df: DataFrame, name: str, ts_col: str, grain: str = "day", cluster_by: Sequence[str] = CLUSTER_COLUMNS
+) -> DataFrame:
+    """Load a catalog table partitioned by day or month of ``ts_col`` and sorted by the cluster columns.
+
+    The first load creates the table. Later ones replace the partitions they hold rows of and leave
+    the others, so a month that is loaded again replaces its own days only. Rows without a time are
+    a partition of their own. Filter on the partition column to prune.
+    """
+    spark, column = df.sparkSession, f"pickup_{'date' if grain == 'day' else grain}"
+    dated = df.withColumn(column, F.to_date(F.date_trunc(grain, ts_col)))
+    dated = dated.hint("rebalance", column).sortWithinPartitions(column, *cluster_by)
+    if spark.catalog.tableExists(name):
+        key = "spark.sql.sources.partitionOverwriteMode"  # an insert reads it from the session alone
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            dated.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
+    else:
+        dated.write.format("parquet").partitionBy(column).saveAsTable(name)
+    return spark.table(name)
+
+
+def write_by_month(df: DataFrame, path: str, ts_col: str) -> None:
+    """Replace a table partitioned by the month of ``ts_col``, as text in column ``ym``."""
+    monthly = df.withColumn(MONTH_COLUMN, F.date_format(ts_col, "yyyy-MM"))
+    monthly.hint("rebalance", MONTH_COLUMN).write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path)
+
+
 def write_flat(df: DataFrame, path: str) -> None:
     """Replace an unpartitioned table."""
     df.write.mode("overwrite").parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -86,6 +87,18 @@ def scan_months(spark: SparkSession, template: str, months: Sequence[str]) -> Da
         raise
 
 
+def listed_months(spark: SparkSession, template: str) -> DataFrame:
+    """ym, files, bytes of the months that have files, from their metadata alone: no file is opened.
+
+    Files without a byte are no month. The months are read from the paths, where ``{ym}`` stands.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(template.format(ym="*"))
+    before, after = (re.escape(x) for x in template.split("{ym}", 1))
+    pattern = before.split("/")[-1] + r"(\d{4}-\d{2})" + after
+    listed = found.select(F.regexp_extract("path", pattern, 1).alias("ym"), "length").where("length > 0 and ym <> ''")
+    return listed.groupBy("ym").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
 def missing_months(calendar: DataFrame, observed: DataFrame) -> DataFrame:
     """Calendar months (``ym``) without any observed row."""
     return calendar.join(observed.select("ym").distinct(), "ym", "left_anti")

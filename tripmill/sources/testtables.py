@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tripmill.functions.calendar import hour_keys, month_keys
 from tripmill.schemas import SERVICES
 from tripmill.session import scratch_dir
+from tripmill.sinks.tables import MONTH_COLUMN, write_by_month
 
 STATUS = {"Yellow": "O", "Green": "F"}
 ZONE_IDS = 27
@@ -141,27 +142,28 @@ def _month_span(df: DataFrame, ts_col: str) -> list[str]:
     return month_keys(first, last)
 
 
-def uniform_months(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
-    """Green month files of one schema: path template and month list."""
+def uniform_months(spark: SparkSession, sf_dir: str, service: str) -> tuple[str, list[str]]:
+    """A service's month files of one schema: path template and month list."""
+    pickup = SERVICES[service][0]
 
     def write(root: str) -> tuple[str, list[str]]:
-        raw = raw_trips(spark, sf_dir, "Green")
-        _write_months(raw, "lpep_pickup_datetime", root)
-        return f"{root}/ym={{ym}}", _month_span(raw, "lpep_pickup_datetime")
+        raw = raw_trips(spark, sf_dir, service)
+        _write_months(raw, pickup, root)
+        return f"{root}/ym={{ym}}", _month_span(raw, pickup)
 
-    return _once(spark, sf_dir, "green-months", write)
+    return _once(spark, sf_dir, f"uniform-{service}", write)
 
 
-def drifting_months(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
-    """Yellow month files whose schema changes twice: path template and month list.
+def drifting_months(spark: SparkSession, sf_dir: str, service: str = "Yellow") -> tuple[str, list[str]]:
+    """A service's month files whose schema changes twice: path template and month list.
 
     The first years lack two columns, the middle years hold other numeric types and count pickup
     times in microseconds, the last years have every column.
     """
 
     def write(root: str) -> tuple[str, list[str]]:
-        raw = raw_trips(spark, sf_dir, "Yellow")
-        pickup, dropoff = SERVICES["Yellow"]
+        raw = raw_trips(spark, sf_dir, service)
+        pickup, dropoff = SERVICES[service]
         second, third = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in DRIFT_YEARS)
         early = raw.where(F.col(pickup) < second).drop("congestion_surcharge", "airport_fee")
         middle = raw.where((F.col(pickup) >= second) & (F.col(pickup) < third)).drop("airport_fee")
@@ -181,7 +183,19 @@ def drifting_months(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
         _write_months(late, pickup, root)
         return f"{root}/ym={{ym}}", _month_span(raw, pickup)
 
-    return _once(spark, sf_dir, "yellow-months", write)
+    return _once(spark, sf_dir, f"drifting-{service}", write)
+
+
+def stored_by_month(spark: SparkSession, sf_dir: str, name: str, build, ts_col: str) -> DataFrame:
+    """A mart stored by month, made once per session."""
+
+    def write(root: str) -> tuple[str, StructType]:
+        mart = build()
+        write_by_month(mart, root, ts_col)
+        return root, StructType([*mart.schema.fields, StructField(MONTH_COLUMN, StringType())])
+
+    root, schema = _once(spark, sf_dir, name, write)
+    return spark.read.schema(schema).parquet(root)
 
 
 def event_archive(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
