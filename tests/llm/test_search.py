@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tests.llm.corpus import docs, empty, odd, words
@@ -226,3 +227,17 @@ def test_odd_rows_and_empty_tables(spark):
     assert jaccard_join.jaccard_join(empty(spark)).count() == 0
     assert token_index.token_ids(empty(spark), TOKENIZER).count() == 0
     assert decontaminate.decontaminate(empty(spark), bench).count() == 0
+
+
+def test_pieces_are_encoded_as_the_tokenizer_does():
+    """Every letter up to U+024F before every ASCII sign, alone and between other letters, and fuzzed texts."""
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    signs = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    texts = [f"{a}{s} x{a}y{s}{s} {s}{a}Z{s}{a}" for a in letters for s in signs]
+    rng, some = random.Random(5), "aZéßİıſŉǰ'.,!?-_19 \n\u0307\u0301あ\U0001f600ΣςK"
+    texts += ["".join(rng.choice(some) for _ in range(rng.randint(1, 20))) for _ in range(50_000)]
+    encoder, tokenizer = token_index._Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    for at in range(0, len(texts), 5_000):
+        part = texts[at : at + 5_000]
+        want = [[*e.ids, 2] for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(pa.array(part))] == want

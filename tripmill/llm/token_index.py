@@ -104,7 +104,8 @@ class _Encoder:
 
 def _parts(piece: str) -> tuple[str, ...]:
     word = piece.rstrip(string.punctuation)
-    if not word.isalpha() or max(word) > _LAST_LATIN:
+    # a letter whose lower case brings a mark (U+0130) is not of letters alone to the tokenizer
+    if not word.lower().isalpha() or max(word) > _LAST_LATIN:
         return (piece,)
     tail = piece[len(word) :]
     word = word.lower() if word.isascii() else word
