@@ -100,3 +100,13 @@ def test_lm_does_not_depend_on_blocks(spark, monkeypatch):
 def test_lm_odd_rows(spark):
     assert backoff_lm.lm_scores(odd(spark)).count() == 7
     assert backoff_lm.lm_scores(empty(spark)).count() == 0
+
+
+def test_language_model_survives_another_split_of_the_scan(spark, tmp_path, conf):
+    docs(spark, [" ".join(words(300, i)) for i in range(60)]).repartition(6).write.parquet(str(tmp_path / "d"))
+    frame = spark.read.parquet(str(tmp_path / "d"))
+    want = sorted(tuple(r) for r in backoff_lm.lm_scores(frame).collect())
+    made = backoff_lm.lm_scores(frame)
+    conf("spark.sql.files.maxPartitionBytes", "4096")
+    conf("spark.sql.files.openCostInBytes", "64")
+    assert sorted(tuple(r) for r in made.collect()) == want

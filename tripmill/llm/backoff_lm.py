@@ -14,7 +14,7 @@ totals, and each block then runs the automaton over its texts from left to right
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -96,12 +96,11 @@ def _texts(block: int, rows: list[tuple]) -> Iterator[list]:
     yield [block, list(ids), list(held), lengths, _pack_keys(vocabulary), _pack(coded.astype(np.uint32))]
 
 
-def _asked(block: int, rows: list[tuple], parts: int) -> Iterator[list]:
+def _asked(block: dict, parts: int) -> Iterator[list]:
     """For each part of the model the block's distinct n-grams, with their training counts."""
-    _, held, tokens = zip(*rows, strict=True)
-    lengths = np.array([len(t) for t in tokens], np.int64)
-    words = np.concatenate(tokens)
-    train = np.repeat(~np.array(held), lengths)
+    lengths = np.array(block["lengths"], np.int64)
+    words = _unpack_keys(block["vocabulary"])[_unpack(block["tokens"], np.uint32)]
+    train = np.repeat(~np.array(block["held"], bool), lengths)
     pairs = pair_keys(_histories(words, lengths), words)
     packed = []
     for keys in (words, pairs):
@@ -111,25 +110,25 @@ def _asked(block: int, rows: list[tuple], parts: int) -> Iterator[list]:
         packed.append([(_pack_keys(distinct[a:b]), _pack(counts[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
     for part, (own_words, own_pairs) in enumerate(zip(*packed, strict=True)):
         if own_words[0] or own_pairs[0]:
-            yield [block, part, *own_words, *own_pairs]
+            yield [block["block"], part, *own_words, *own_pairs]
 
 
-def _blocks(docs: DataFrame, schema: str, code: Callable[[int, list[tuple]], Iterator[list]]) -> DataFrame:
-    """Code the documents block by block.
+def _row(values: list, fields: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, fields, strict=True)], schema=fields)
 
-    A block is a run of rows of one scan task, so both codings of the same input, and a task that
-    is run again, make the same blocks.
-    """
+
+def _blocks(docs: DataFrame) -> DataFrame:
+    """Code the documents block by block; a block is a run of rows of one scan task."""
     tokens = F.transform(split_words(lower_ascii(F.col("text")), SPACE), lambda w: F.xxhash64(w))
     rows = docs.select("doc_id", held_out(F.col("doc_id"), MODULUS, REMAINDER).alias("held"), tokens.alias("tokens"))
-    fields = to_arrow_schema(StructType.fromDDL(schema))
+    fields = to_arrow_schema(StructType.fromDDL(_TEXTS))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, waiting, size = 0, [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for row in code((TaskContext.get().partitionId() << 32) + made, waiting):
-                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, fields, strict=True)], schema=fields)
+            for row in _texts((TaskContext.get().partitionId() << 32) + made, waiting):
+                yield _row(row, fields)
 
         for batch in batches:
             ids, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -146,7 +145,19 @@ def _blocks(docs: DataFrame, schema: str, code: Callable[[int, list[tuple]], Ite
         if waiting:
             yield from flush()
 
-    return rows.mapInArrow(encode, schema)
+    return rows.mapInArrow(encode, _TEXTS)
+
+
+def _ask(texts: DataFrame, parts: int) -> DataFrame:
+    fields = to_arrow_schema(StructType.fromDDL(_ASKED))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                for row in _asked(batch.slice(i, 1).to_pylist()[0], parts):
+                    yield _row(row, fields)
+
+    return texts.drop("doc_ids").mapInArrow(ask, _ASKED)
 
 
 def _answer(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
@@ -219,12 +230,12 @@ def lm_scores(docs: DataFrame, mu: float = MU, part_bytes: int = PART_BYTES) ->
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
-    asked = _blocks(docs, _ASKED, lambda block, rows: _asked(block, rows, parts))
-    answers = stored(asked.groupBy("part").applyInPandas(_answer, _ANSWERS), "lm-answers")
+    # coded once and stored: a second scan could be cut into other tasks, and so into other blocks
+    texts = stored(_blocks(docs), "lm-texts")
+    answers = stored(_ask(texts, parts).groupBy("part").applyInPandas(_answer, _ANSWERS), "lm-answers")
     tokens, words = answers.agg(F.sum("train_tokens"), F.sum("known_words")).first()
     train_docs = docs.filter(~held_out(F.col("doc_id"), MODULUS, REMAINDER)).count()
     model = (tokens or 0, words or 0, train_docs)
-    texts = _blocks(docs, _TEXTS, _texts)
 
     def score(own: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         return _score_block(own.iloc[0], replies, model, mu)
