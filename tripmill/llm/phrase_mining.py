@@ -4,8 +4,9 @@ A sample of the documents proposes frequent phrases, level by level, at a lowere
 over all documents then counts the proposed phrases and their negative border: a phrase of k words
 is counted wherever its first and its last k - 1 words are proposed, so what was not proposed, but
 could be frequent, is counted too. A frequent phrase that was not proposed is a failure of the
-border; failures are added to the proposals and a further pass counts what they let through, until
-no pass finds any. Every part of a frequent phrase is frequent, so by then all of them are counted.
+border; failures are added to the proposals and an expansion pass counts what they let through, and
+at once all longer phrases made of such, which closes the border: every part of a frequent phrase is
+frequent, so the phrase is counted in the pass in which the last of its parts is.
 
 These passes count by 64-bit keys of language and words, which can only count too much. A last pass
 counts the words themselves, of whatever has a frequent key. Proposals and frequent keys are bit sets
@@ -119,16 +120,20 @@ def _count(words: _Words, new: np.ndarray, old: np.ndarray | None, sizes: range)
     """Per size: the places and keys of the phrases to be counted.
 
     A phrase is counted where ``new`` holds its two longest parts and theirs, unless ``old`` did so.
+    With ``old``, a part that is counted for the first time passes as held, so that all that follows
+    from what is new to ``new`` is counted at once.
     """
     n, keys = len(words.codes), words.keys
     passed = [(bits, np.ones(n, bool)) for bits in (new, old) if bits is not None]
     for size in range(1, sizes.stop):
         if size > 1:
             # places whose phrase of one word less, and the one after it, are both counted and held
-            grown = []
+            grown, fresh = [], passed[0][1] & ~passed[-1][1]
             for bits, counted in passed:
                 held = counted.copy()
                 held[counted] = _holds(bits, keys[counted])
+                if bits is new:
+                    held |= fresh
                 both = np.zeros(n, bool)
                 if n >= size:
                     whole = words.piece[: n - size + 1] == words.piece[size - 1 :]
@@ -152,7 +157,7 @@ def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
 
 
 def _key_counts(texts: DataFrame, new: np.ndarray, old: np.ndarray | None, sizes: range, slice_bytes: int) -> DataFrame:
-    """key, open, n of what ``new`` lets through and ``old`` did not; open: not proposed, and not of the greatest length.
+    """key, open, n of what ``new`` lets through and ``old`` did not; open: not held, and not of the greatest length.
 
     Two phrases with one key are counted together, so n is never too small.
     """
@@ -170,8 +175,8 @@ def _key_counts(texts: DataFrame, new: np.ndarray, old: np.ndarray | None, sizes
     return rows.groupBy("key", "open").agg(F.sum("n").alias("n"))
 
 
-def _phrase_counts(texts: DataFrame, held: np.ndarray, frequent: np.ndarray, slice_bytes: int) -> DataFrame:
-    """lang, phrase, size, n of what ``held`` lets through and ``frequent`` holds, by the words themselves."""
+def _phrase_counts(texts: DataFrame, frequent: np.ndarray, slice_bytes: int) -> DataFrame:
+    """lang, phrase, size, n of what ``frequent`` holds with all its parts, by the words themselves."""
     names = [x.split(" ")[0] for x in _COUNTED.split(", ")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +187,7 @@ def _phrase_counts(texts: DataFrame, held: np.ndarray, frequent: np.ndarray, sli
                 none = [pa.array([""] * len(whole)), pa.array(np.zeros(len(whole), np.int32)), pa.array(whole)]
                 # all words of each language, as the count of the phrase without words
                 yield pa.RecordBatch.from_arrays([words.langs, *none], names=names)
-                for size, places, keys in _count(words, held, None, range(1, LONGEST + 1)):
+                for size, places, keys in _count(words, frequent, None, range(1, LONGEST + 1)):
                     places = places[_holds(frequent, keys)]
                     ids, at = _distinct(words.ids[places])
                     for i in range(1, size):
@@ -239,17 +244,14 @@ def phrase_counts(
         F.xxhash64("doc_id", "text").alias("draw"),
     )
     held = propose(texts, support, one_in, lowered, bits, slice_bytes)
-    texts, old, frequent = texts.select("lang", "text"), None, np.zeros(bits // 8, np.uint8)
-    while True:
-        sizes = range(1 if old is None else 2, LONGEST + 1)
-        counted = _key_counts(texts, held, old, sizes, slice_bytes)
-        found = stored(counted.filter(F.col("n") >= support), "phrase-keys")
-        frequent = frequent | _bits(found, bits)
-        failures = _bits(found.filter("open"), bits)
-        if not failures.any():
-            break
-        held, old = held | failures, held
-    counted = _phrase_counts(texts, held, frequent, slice_bytes)
+    texts = texts.select("lang", "text")
+    counted = _key_counts(texts, held, None, range(1, LONGEST + 1), slice_bytes)
+    found = stored(counted.filter(F.col("n") >= support), "phrase-keys")
+    frequent, failures = _bits(found, bits), _bits(found.filter("open"), bits)
+    if failures.any():
+        counted = _key_counts(texts, held | failures, held, range(2, LONGEST + 1), slice_bytes)
+        frequent = frequent | _bits(counted.filter(F.col("n") >= support), bits)
+    counted = _phrase_counts(texts, frequent, slice_bytes)
     return counted.filter((F.col("n") >= support) | (F.col("size") == 0))
 
 

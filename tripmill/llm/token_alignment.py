@@ -15,6 +15,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ RUN = 64
 #: Bytes of whole texts that are encoded at a time, links of a block.
 SLICE_BYTES, BLOCK_LINKS = 1 << 20, 300_000
 #: Characters of distinct stretches that a worker keeps; all are dropped when there are more.
-MEMO_CHARS = 2_000_000
+MEMO_CHARS = 3_000_000
 #: Ids of the second tokenizer are below this, so a pair of ids is one number.
 SECOND_IDS = 1 << 17
 
@@ -118,19 +119,18 @@ class _Coder:
         )
         self.starts = np.cumsum([0, size, size, len(pieces)])
 
-    def encode(self, texts: list[str]) -> list[list[np.ndarray]]:
-        """For each side the ids of each text; the second puts the space before a text itself."""
-        first = [np.array(e.ids, np.int64) for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
-        second = [np.array(x, np.int64) for x in self.second.encode([t[1:] for t in texts], num_threads=1)]
-        return [first, second]
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each side the ids of all texts and where each text's end; the second puts the space before a text itself."""
+        first = [e.ids for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
+        second = self.second.encode([t[1:] for t in texts], num_threads=1)
+        return [(np.fromiter(chain.from_iterable(x), np.int64), np.cumsum(list(map(len, x)))) for x in (first, second)]
 
-    def agree(self, ids: list[np.ndarray], texts: list[bytes], side: int) -> list[bool]:
+    def agree(self, side: int, ids: np.ndarray, stops: np.ndarray, texts: list[bytes]) -> np.ndarray:
         """Whether each text's ids join to its bytes."""
-        flat, stops = np.concatenate(ids), np.cumsum([len(x) for x in ids])
-        joined = self.tables[side].take(pa.array(flat)).buffers()[2]
+        joined = self.tables[side].take(pa.array(ids)).buffers()[2]
         joined = joined.to_pybytes() if joined else b""
-        ends = np.append(0, np.cumsum(self.sizes[side][flat]))[np.append(0, stops)].tolist()
-        return [joined[i:j] == text for i, j, text in zip(ends[:-1], ends[1:], texts, strict=True)]
+        ends = np.append(0, np.cumsum(self.sizes[side][ids]))[np.append(0, stops)].tolist()
+        return np.array([joined[i:j] == text for i, j, text in zip(ends[:-1], ends[1:], texts, strict=True)], bool)
 
 
 def _shown_bytes() -> list[str]:
@@ -194,20 +194,18 @@ class _Aligned:
 def _align(coder: _Coder, stretches: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Counts and groups of each stretch (which begins with a space), and the id pairs of all links in order."""
     ids = coder.encode(stretches)
+    raw = [x.encode() for x in stretches]
+    same = coder.agree(0, *ids[0], raw) & coder.agree(1, *ids[1], raw)
+    sizes = [np.diff(stops, prepend=0) for _, stops in ids]
     counts, strings = np.zeros((len(stretches), 5), np.int64), [""] * len(stretches)
+    made = []
     # stretches whose shorter list is the first tokenizer's, and the others
-    drivers: list[list[int]] = [[], []]
-    raw = [x.encode() for x in stretches]
-    for i, same in enumerate(zip(*[coder.agree(own, raw, side) for side, own in enumerate(ids)], strict=True)):
-        if all(same):
-            drivers[len(ids[0][i]) > len(ids[1][i])].append(i)
-    links = [np.zeros(0, np.int64)] * len(stretches)
-    for side, chosen in enumerate(drivers):
-        if not chosen:
+    for side, chosen in enumerate((np.flatnonzero(same & (sizes[0] <= sizes[1])), np.flatnonzero(same & (sizes[0] > sizes[1])))):
+        if not len(chosen):
             continue
         # stretches one after the other are one pair of lists: the last end of each is common to both
-        own, other = (np.concatenate([ids[s][i] for i in chosen]) for s in (side, 1 - side))
-        n_own, n_other = (np.array([len(ids[s][i]) for i in chosen], np.int64) for s in (side, 1 - side))
+        n_own, n_other = sizes[side][chosen], sizes[1 - side][chosen]
+        own, other = (ids[s][0][_runs((ids[s][1] - sizes[s])[chosen], ids[s][1][chosen] - 1)[1]] for s in (side, 1 - side))
         first, last, cut_own, cut_other = overlaps(np.cumsum(coder.sizes[side][own]), np.cumsum(coder.sizes[1 - side][other]))
         which, member = _runs(first, last)
         left, right = (own[which], other[member]) if side == 0 else (other[member], own[which])
@@ -217,10 +215,13 @@ def _align(coder: _Coder, stretches: list[str]) -> tuple[np.ndarray, list[str],
         n_a, n_b = (n_own, n_other) if side == 0 else (n_other, n_own)
         counts[chosen] = np.stack([n_a, n_b, n_groups, n_links, np.ones(len(chosen), np.int64)], axis=1)
         groups = _group_texts(coder, side, own, other, cut_own, cut_other, stops, np.cumsum(n_other))
-        pairs = np.split(left * SECOND_IDS + right, np.cumsum(n_links)[:-1])
-        for i, text, found in zip(chosen, groups, pairs, strict=True):
-            strings[i], links[i] = text, found
-    return counts, strings, np.concatenate(links)
+        for i, text in zip(chosen.tolist(), groups, strict=True):
+            strings[i] = text
+        made.append((chosen, left * SECOND_IDS + right))
+    links, stops = np.empty(counts[:, 3].sum(), np.int64), np.cumsum(counts[:, 3])
+    for chosen, pairs in made:
+        links[_runs((stops - counts[:, 3])[chosen], stops[chosen] - 1)[1]] = pairs
+    return counts, strings, links
 
 
 def _group_texts(
