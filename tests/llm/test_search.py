@@ -9,6 +9,7 @@ from itertools import combinations
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.corpus import docs, empty, odd, words
@@ -140,11 +141,64 @@ def _distance(a, b):
     return min(row)
 
 
-def test_edit_distance_equals_the_table():
+def _best_place(item, window):
+    """(edits, start) by trying every run of words."""
+    return min((_distance(item, window[a:b]), a) for a in range(len(window) + 1) for b in range(a, len(window) + 1))
+
+
+def test_best_places_equal_all_runs():
     rng = np.random.default_rng(1)
-    for _ in range(50):
-        a, b = rng.integers(1, 4, rng.integers(1, 9)), rng.integers(1, 4, rng.integers(1, 9))
-        assert decontaminate.edit_distance(a.astype(np.uint64), b.astype(np.uint64)) == _distance(list(a), list(b))
+    for _ in range(30):
+        m, sizes = int(rng.integers(1, 8)), rng.integers(0, 12, 6)
+        items, windows = rng.integers(1, 4, (6, m)), np.zeros((6, sizes.max()), np.int64)
+        for row, n in zip(windows, sizes, strict=True):
+            row[:n] = rng.integers(1, 4, n)
+        got = zip(*(x.tolist() for x in decontaminate.best_places(items, windows)), strict=True)
+        want = [_best_place(list(i), list(w[:n])) for i, w, n in zip(items, windows, sizes, strict=True)]
+        assert list(got) == want
+
+
+def _walk(words, begin, salt, steps):
+    """The words that a walk reads at its sampled steps, one step at a time; None once it leaves the words."""
+    at, read = begin, []
+    for step in range(steps[-1] + 1):
+        if at >= len(words):
+            return None
+        if step in steps:
+            read.append(int(words[at]))
+        turn = decontaminate.mix(words[at : at + 1] + salt)[0]
+        at += int(turn >> np.uint64(step)) & 1
+    return tuple(read)
+
+
+def test_keys_are_those_of_walks_word_by_word():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(1, 30, n, dtype=np.uint64) for n in (1, 7, 40, 90, 200)]
+    for number in range(len(decontaminate.CLASSES)):
+        salt, steps = decontaminate.walk_of(number, 1)
+        by_key, by_read = {}, {}
+        for n, text in enumerate(texts):
+            walked = {a: _walk(text, a, salt, steps) for a in range(len(text))}
+            ended = np.append(text, np.uint64(0))
+            inside = np.flatnonzero(ended[decontaminate.walk_ends(ended, salt, steps)] != 0)
+            assert inside.tolist() == [a for a, r in walked.items() if r]
+            for a in inside:
+                by_key.setdefault(int(decontaminate.walk_keys(ended, salt, steps)[a]), set()).add((n, a))
+                by_read.setdefault(walked[a], set()).add((n, a))
+        assert sorted(map(sorted, by_key.values())) == sorted(map(sorted, by_read.values()))
+
+
+def test_walks_in_parts_are_those_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 50, 3000, dtype=np.uint64)
+    words[-1] = 0
+    every = np.full(decontaminate.FILTER_BITS >> 6, ~np.uint64(0))
+    walks = [decontaminate.walk_of(n, 0) for n in range(4)]
+    ends = np.flatnonzero(words == 0)
+    whole = decontaminate._hits(words, ends, every, [5], walks)
+    monkeypatch.setattr(decontaminate, "WALKED", 101)
+    parts = decontaminate._hits(words, ends, every, [5], walks)
+    assert sorted(zip(*map(np.ndarray.tolist, whole), strict=True)) == sorted(zip(*map(np.ndarray.tolist, parts), strict=True))
 
 
 def test_edited_items_are_found_and_clean_documents_left(spark):
@@ -171,26 +225,64 @@ def test_edited_items_are_found_and_clean_documents_left(spark):
     assert kept.count() == 400 - len({d for d, _ in found})
 
 
-def test_edits_of_every_kind_are_all_found(spark):
+def _slide(item, text, limit):
+    """(start, edits) of the best run of the text within the limit, by edit distance from every end."""
+    costs = [(0, a) for a in range(len(text) + 1)]
+    for word in item:
+        new = [(costs[0][0] + 1, costs[0][1])]
+        for j, other in enumerate(text):
+            new.append(min((costs[j][0] + (word != other), costs[j][1]), (costs[j + 1][0] + 1, costs[j + 1][1]), (new[j][0] + 1, new[j][1])))
+        costs = new
+    edits, start = min(costs)
+    return (start, edits) if edits <= limit else None
+
+
+def test_edits_of_every_kind_reach_the_recall(spark):
+    """Items of 1 to 200 words, edited to the limit, in whole texts; a sliding edit distance gives what is to be found."""
     rng = random.Random(8)
-    sizes = [1, 2, 4, 5, 9, 10, 17, 46, 54, 59, 100, 200]
+    sizes = [1, 2, 4, 5, 6, 7, 8, 9, 10, 13, 14, 17, 20, 27, 46, 54, 59, 100, 200]
     items = [[f"i{i}x{k}" for k in range(n)] for i, n in enumerate(sizes)]
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
-    texts, want = [], {}
+    texts, want, kinds = [], {}, {}
     for i, item in enumerate(items):
         for kind in ("replace", "insert", "delete"):
-            for _ in range(8):
+            for _ in range(12):
                 copy, edits = list(item), decontaminate.allowed_edits(len(item))
-                # inner words, so that no run of words is nearer than the planted one
                 for at in sorted(rng.sample(range(1, max(2, len(item) - 1)), edits), reverse=True):
                     copy[at : at + (kind != "insert")] = [] if kind == "delete" else [f"new{rng.randrange(10**6)}"]
-                text = words(rng.randint(0, 300), 9000 + len(texts))
+                text = words(rng.randint(0, 60), 9000 + len(texts))
                 at = rng.randint(0, len(text))
                 text[at:at] = copy
-                want[len(texts), i] = (at, edits)
+                want[len(texts), i] = _slide(item, text, edits)
+                kinds[len(texts), i] = (kind, edits)
                 texts.append(" ".join(text))
+    assert all(want.values()) and max(e for _, e in want.values()) == 30
     found = {(r.doc_id, r.item_id): (r.start, r.edits) for r in decontaminate.contaminated(docs(spark, texts), bench).collect()}
-    assert found == want
+    assert all(want.get(k) == v for k, v in found.items())
+    assert all(k in found for k, (_, edits) in kinds.items() if not edits)
+    for kind in ("replace", "insert", "delete"):
+        of_kind = [k for k, (x, edits) in kinds.items() if x == kind and edits]
+        assert np.mean([k in found for k in of_kind]) >= 0.95
+
+
+def test_an_opening_that_many_share(spark):
+    """300 items and 1,000 documents begin alike and have nothing else in common; one document holds an item."""
+    opening = "which of the following best "
+    bench = [(i, opening + " ".join(words(25, 20_000 + i))) for i in range(300)]
+    texts = [opening + " ".join(words(40, 30_000 + i)) for i in range(1000)]
+    texts[7] = "so " + bench[5][1]
+    found = decontaminate.contaminated(docs(spark, texts), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert [tuple(r) for r in found] == [(7, 5, 1, 0)]
+
+
+def test_columns_with_clashing_names_are_kept(spark):
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, text string")
+    wide = docs(spark, ["a one two three four five six seven eight", "clean", None])
+    for name in ("of_id", "OF_MD5", "text_md5", "_text", "_md5", "at", "words"):
+        wide = wide.withColumn(name, F.concat(F.lit(name), "doc_id"))
+    kept = decontaminate.decontaminate(wide, bench)
+    assert kept.columns == wide.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, wide.filter("doc_id > 0").collect()))
 
 
 def test_token_ids_round_trip(spark):

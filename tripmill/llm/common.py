@@ -50,3 +50,11 @@ def uniform(*parts: Column) -> Column:
     """A number in [0, 1) that depends on the parts alone: 52 bits of the MD5 of their texts."""
     text = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores after it until no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
