@@ -28,9 +28,9 @@ EDITS = 15
 #: Size classes that allow edits: fewest words, and steps sampled for a key.
 CLASSES = ((7, 3), (10, 4), (14, 5), (24, 6))
 #: Share of items, edited to the limit, that the repetitions of their class find in the measurement.
-TARGET_RECALL = 0.99
+TARGET_RECALL = 0.998
 #: Edited items measured for each size and kind of edit, and the most repetitions of a class.
-MEASURED, MOST_REPETITIONS = 200, 40
+MEASURED, MOST_REPETITIONS = 500, 40
 #: Bits of the filter that documents are read through; a fuller filter lets more pass, never less.
 FILTER_BITS = 1 << 26
 #: Words that are walked at a time, and cells of a table of edit distances.
