@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 import duckdb
 import pandas as pd
 import pytest
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from check import TABLES, compare
 from tripmill.llm.queries import QUERIES
@@ -40,3 +44,17 @@ def test_every_stage_keeps_the_columns(spark):
         before = ids
     shards = corpus_pipeline.run(spark, FOLDER).collect()
     assert {r.doc_id for r in shards} == before
+
+
+def test_every_stage_keeps_columns_with_clashing_names(spark):
+    """Columns named like those that the operators add come back with their own values."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    names = ["score", "Predicted", "_terms", "copies", "copy", "order_key", "_source", "_law", "_md5", "_ID", "_text", "fp", "label", "of_md5", "own_score"]
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")))
+    for stage_name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, FOLDER)
+        assert kept.columns == docs.columns, stage_name
+        strange = [F.col(n) != F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in names]
+        assert kept.count() > 0 and kept.filter(reduce(Column.__or__, strange)).isEmpty(), stage_name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == docs.count()

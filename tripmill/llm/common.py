@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +60,10 @@ def free_name(df: DataFrame, name: str) -> str:
     while name in taken:
         name += "_"
     return name
+
+
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The frame with columns of these names (in any case) under free ones, and what names them as before."""
+    moved = {c: free_name(df, f"own_{c.lower()}") for c in df.columns if c.lower() in names}
+    back = {free: name for name, free in moved.items()}
+    return df.withColumnsRenamed(moved), lambda out: out.withColumnsRenamed(back)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import lower_ascii, split_words, stored
+from tripmill.llm.common import lower_ascii, set_aside, split_words, stored
 from tripmill.llm.components import components
 from tripmill.llm.shingles import mix, pack, shingle_sets, unpack, word_lists
 
@@ -277,7 +277,8 @@ def keep_one(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD)
     several the one with the smallest MD5 of its text; rows without ids come last. Rows that repeat
     an id and a text stay once, those without id and words all. Texts without words are no duplicates.
     """
-    keyed = docs.withColumn("_md5", F.md5("text"))
+    own, named_back = set_aside(docs, "_md5", "_id", "_text")
+    keyed = own.withColumn("_md5", F.md5("text"))
     rows = _classified(keyed.select("doc_id", "_md5", "text"), ["doc_id", "_md5"], words, threshold, TARGET_RECALL)
     counted = stored(rows.groupBy("doc_id", "_md5", "label").agg(F.count("*").alias("_n")), "near-rows")
     best = F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "_md5")).alias("best")
@@ -291,7 +292,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD)
     again = again.select(F.col("doc_id").alias("_id"), F.col("_md5").alias("_text"))
     again = stored(again.join(gone, ["_id", "_text"], "left_anti"), "near-again")
     if again.isEmpty():
-        return kept.drop("_md5")
+        return named_back(kept.drop("_md5"))
     once = kept.join(again, same_row, "left_anti")
     rest = kept.join(again, same_row, "left_semi")
-    return once.unionByName(rest.dropDuplicates(["doc_id", "_md5"])).drop("_md5")
+    return named_back(once.unionByName(rest.dropDuplicates(["doc_id", "_md5"])).drop("_md5"))
