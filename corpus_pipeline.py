@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import decontaminate, histogram_shard, jaccard_join, poisson_mix, toxicity_fm
-from tripmill.llm.common import stored, table
+from tripmill.llm.common import set_aside, stored, table
 
 SHARDS = 8
 
@@ -18,7 +18,8 @@ SHARDS = 8
 def _reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity machine, fit on their labels, does not reject."""
     machine = toxicity_fm.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicity_fm.score_toxicity(docs, machine).filter("predicted = 0").select(*docs.columns)
+    own, named_back = set_aside(docs, "score", "predicted", "_terms")
+    return named_back(toxicity_fm.score_toxicity(own, machine).filter("predicted = 0").select(*own.columns))
 
 
 def _keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +34,8 @@ def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents replicated so that sources take their target shares, in a shuffled order; drawn by id and text."""
-    return poisson_mix.poisson_mix(docs, by=(F.md5("text"),)).select(*docs.columns)
+    own, named_back = set_aside(docs, "copies", "copy", "order_key", "_source", "_law")
+    return named_back(poisson_mix.poisson_mix(own, by=(F.md5("text"),)).select(*own.columns))
 
 
 def _shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
