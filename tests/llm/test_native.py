@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter
 
@@ -40,6 +41,28 @@ def test_license_containment_equals_brute_force(spark):
     assert {r.doc_id: set(filter(None, r.labels.split(","))) for r in got} == want
 
 
+def test_wrapped_statements_are_found_and_scattered_words_are_not(spark):
+    wrapped = [(label, text.split()) for label, text in license_scan.TEMPLATES]
+    texts = [" ".join(["other"] * (7 * i)) + "\n" + "\n".join(w) + "\nmore" * 50 for i, (_, w) in enumerate(wrapped)]
+    texts.append(" ".join(w + " filler" * 100 for w in "licensed under cc by nc 4 0".split()))
+    got = {r.doc_id: r for r in license_scan.license_scan(docs(spark, texts)).collect()}
+    for i, (label, _) in enumerate(wrapped):
+        assert label in got[i].labels.split(",") and got[i].score == 1.0
+    assert got[len(wrapped)].labels == "" and got[len(wrapped)].score == 0.0
+
+
+def test_license_runs_equal_brute_force(spark):
+    rng = random.Random(4)
+    templates = [("t", "a b c d e"), ("u", "f g h")]
+    texts = [" ".join(rng.choices("abcdefghijkl\n", k=rng.randint(0, 60))) for _ in range(150)]
+    got = {r.doc_id: r.labels for r in license_scan.license_scan(docs(spark, texts), templates).collect()}
+    for i, text in enumerate(texts):
+        words = text.split()
+        runs = [set(words[at : at + 10]) for at in range(0, max(1, len(words) - 5), 5)]
+        want = {x for x, s in templates if any(len(run & set(s.split())) >= 0.8 * len(s.split()) for run in runs)}
+        assert got[i] == ",".join(sorted(want))
+
+
 def test_shards_are_near_equal_and_gapless(spark):
     texts = ["x" * (i % 97) for i in range(3000)] + ["the same text"] * 1500
     out = histogram_shard.shard_documents(docs(spark, texts), 8, bin_rows=200).collect()

@@ -44,35 +44,41 @@ def _places(words: Column, phrase: str) -> Column:
     return F.when(F.size(words) >= len(parts), F.filter(starts, here)).otherwise(F.array().cast("array<int>"))
 
 
-def _read_texts(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """One pass over the texts: base results, and of each line the template words it holds."""
-    lines = F.split(lower_ascii(F.col("text")), "\n")
-    # words of each line, made once; a line end is a word break, so together they are the text's words
+def run_step(templates: list[tuple[str, str]]) -> int:
+    """Words from the start of one run to the start of the next: those of the longest template.
+
+    A run is twice as long, so every stretch of up to one word more than a template lies in a run.
+    """
+    return max([len(text.split()) for _, text in templates], default=1)
+
+
+def _read_texts(docs: DataFrame, vocabulary: list[str], step: int) -> DataFrame:
+    """One pass over the texts: base results, and of each run of words the template words it holds."""
     split = docs.select(
         "doc_id",
         F.contains(F.lower(F.coalesce("text", F.lit(""))), F.lit("license")).alias("named"),
-        F.transform(lines, lambda line: split_words(line)).alias("lines"),
+        split_words(lower_ascii(F.col("text"))).alias("words"),
     )
-
-    def in_line(words: Column, number: Column) -> Column:
-        held = F.array_distinct(F.filter(words, lambda w: w.isin(vocabulary)))
-        return F.struct(number.alias("line"), F.size(words).alias("n"), held.alias("held"))
-
     none = F.array().cast("array<int>")
-    n_words = F.aggregate("lines", F.lit(0).cast("bigint"), lambda n, words: n + F.size(words))
-    words = split.select(
+    places = [F.when(F.col("named"), _places(F.col("words"), p)).otherwise(none) for p in PHRASES]
+    marked = split.select(
         "doc_id",
-        n_words.alias("n_words"),
-        F.when(F.col("named"), F.flatten("lines")).otherwise(F.array().cast("array<string>")).alias("words"),
-        F.filter(F.transform("lines", in_line), lambda b: F.size(b["held"]) > 0).alias("blocks"),
+        F.size("words").cast("bigint").alias("n_words"),
+        F.struct(*[x.alias(f"p{i}") for i, x in enumerate(places)]).alias("places"),
+        F.transform("words", lambda w: F.when(w.isin(vocabulary), w)).alias("marked"),
     )
-    places = [F.when(F.size("words") > 0, _places(F.col("words"), p)).otherwise(none) for p in PHRASES]
-    return words.select(
+
+    def in_run(i: Column) -> Column:
+        run = F.slice("marked", i * step + 1, 2 * step)
+        return F.struct(F.size(run).alias("n"), F.array_distinct(F.array_compact(run)).alias("held"))
+
+    runs = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size("marked") / step).cast("int") - 2))
+    return marked.select(
         "doc_id",
         F.monotonically_increasing_id().alias("at"),
         "n_words",
-        F.struct(*[x.alias(f"p{i}") for i, x in enumerate(places)]).alias("places"),
-        "blocks",
+        "places",
+        F.filter(F.transform(runs, in_run), lambda b: F.size(b["held"]) > 0).alias("blocks"),
     )
 
 
@@ -82,10 +88,12 @@ def license_scan(
     """License labels of every document.
 
     Words are runs of letters, digits and non-ASCII characters, A-Z in lower case. Base: starts of
-    the phrases over the whole text. The method adds the labels of all templates of which a line
-    (a text block) holds at least ``containment`` of the distinct words, whatever their order:
-    an exact set-similarity join of lines with templates. Template words are ordered by the number
-    of lines that hold them, rarest first. A line that meets the threshold holds one of a
+    the phrases over the whole text. A text block is a run of twice as many words as the longest
+    template has, whatever the line ends; runs overlap by half, so a statement lies whole in one of
+    them however it is wrapped, and words far apart share none. The method adds the labels of all
+    templates of which a run holds at least ``containment`` of the distinct words, whatever their
+    order: an exact set-similarity join of runs with templates. Template words are ordered by the
+    number of runs that hold them, rarest first. A run that meets the threshold holds one of a
     template's first (words - needed + 1) words (prefix filter), has at least as many words as are
     needed (length filter), and from its first shared word on the template has enough words left
     (positional filter); the pairs left are counted exactly.
@@ -97,9 +105,9 @@ def license_scan(
     templates = TEMPLATES if templates is None else templates
     sets = [(i, label, sorted(set(text.split()))) for i, (label, text) in enumerate(templates)]
     vocabulary = sorted({w for _, _, words in sets for w in words}) or [""]
-    texts = stored(_read_texts(docs, vocabulary), "license-texts")
+    texts = stored(_read_texts(docs, vocabulary, run_step(templates)), "license-texts")
 
-    blocks = texts.select("at", F.explode("blocks").alias("b")).select("at", "b.line", "b.n", "b.held")
+    blocks = texts.select("at", F.explode("blocks").alias("b")).select("at", "b.n", "b.held")
     common = {r.w: r.n for r in blocks.select(F.explode("held").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
     prefix = []
     for i, label, words in sets:

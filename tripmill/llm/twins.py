@@ -21,6 +21,7 @@ def _license_sql() -> str:
         f"({_quoted(label)}, {sorted(set(text.split()))!r}::varchar[])" for label, text in license_scan.TEMPLATES
     )
     columns = ", ".join(f"{places(p)} as p{i}" for i, p in enumerate(license_scan.PHRASES))
+    step = license_scan.run_step(license_scan.TEMPLATES)
     found = "list_concat(list_concat(p0, p1), p2)"
     labels = ", ".join(
         f"case when len(p{i}) > 0 then [{_quoted(x)}] else []::varchar[] end" for i, x in enumerate(license_scan.PHRASES.values())
@@ -33,8 +34,9 @@ based as (select rid, doc_id, words, {columns} from worded),
 labelled as (select *, {found} as found, flatten([{labels}]) as base from based),
 templates(label, need) as (values {rows}),
 blocks as (
-  select rid, list_distinct(list_filter(regexp_split_to_array(line, '{_BREAK}'), lambda w: w <> '')) as held
-  from (select rid, unnest(string_split(t, chr(10))) as line from texts)),
+  select rid, list_distinct(words[i + 1:i + {2 * step}]) as held
+  from (select rid, words, unnest(range(0, greatest(1, (ceil(len(words) / {step}) - 1)::bigint * {step}), {step})) as i
+    from worded)),
 shares as (
   select rid, label, len(list_intersect(held, need)) as n, len(need) as size from blocks, templates where len(held) > 0),
 met as (
