@@ -110,3 +110,28 @@ def test_language_model_survives_another_split_of_the_scan(spark, tmp_path, conf
     conf("spark.sql.files.maxPartitionBytes", "4096")
     conf("spark.sql.files.openCostInBytes", "64")
     assert sorted(tuple(r) for r in made.collect()) == want
+
+
+def test_machine_learns_pairs_that_linear_weights_cannot():
+    """An insult with a group is toxic; two insults or two groups are not, so no term alone tells."""
+    rng = np.random.default_rng(8)
+    rows, y = [], []
+    for _ in range(6000):
+        kinds = rng.integers(0, 2, 2)
+        pair = [100 * k + rng.integers(0, 5) for k in kinds]
+        rows.append(np.unique(np.array([*pair, *rng.integers(1000, 1200, 4)])))
+        y.append(float(kinds[0] != kinds[1]))
+    y = np.array(y)
+    right = {}
+    for factors in (0, toxicity_fm.FACTORS):
+        machine = toxicity_fm.fit_machine(rows[:5000], y[:5000], epochs=60, factors=factors)
+        offsets = np.cumsum([0, *[len(r) for r in rows[5000:]]])
+        right[factors] = np.mean((machine.margins(np.concatenate(rows[5000:]), offsets) > 0) == y[5000:])
+    assert right[0] < 0.65 and right[toxicity_fm.FACTORS] > 0.8
+
+
+def test_rare_terms_count_alike_in_every_sample_size():
+    for size in (30, 30_000):
+        rows = [np.array([7, 9])] * 4 + [np.array([9])] * size
+        machine = toxicity_fm.fit_machine(rows, np.array([1.0] * 4 + [0.0] * size), epochs=1)
+        assert machine.slots[7] > 0

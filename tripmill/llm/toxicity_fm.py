@@ -18,11 +18,13 @@ from tripmill.llm.labelled import label_sample, sampled_texts
 BUCKETS = 1 << 18
 #: Labelled documents that a fit may read.
 SAMPLE = 12_000
-#: Buckets met in a smaller share of the sampled documents, or in fewer than three, have no weight.
-MIN_SHARE = 1 / 300
+#: Buckets met in fewer sampled documents have no weight, however many documents are sampled.
+MIN_COUNT = 3
 #: Penalties on squared linear weights and on squared factors.
-PENALTY = (3e-3, 3e-3)
+PENALTY = (3e-3, 3e-4)
 FACTORS = 8
+#: Spread of the factors before the first step.
+INITIAL = 0.1
 #: Lengths of the word prefixes that are terms too.
 PREFIXES = (4, 5)
 MODULUS, REMAINDER = 4, 2
@@ -73,22 +75,33 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margins(ids, offsets), -40, 40)))
 
 
-def fit_machine(rows: list[np.ndarray], y: np.ndarray, epochs: int = 12, rate: float = 0.01, seed: int = 5) -> Machine:
-    """Minimise log loss with Adam over mini-batches; without both labels only the bias is fit."""
+def fit_machine(
+    rows: list[np.ndarray],
+    y: np.ndarray,
+    epochs: int = 12,
+    rate: float = 0.01,
+    seed: int = 5,
+    factors: int = FACTORS,
+    min_count: int = MIN_COUNT,
+) -> Machine:
+    """Minimise log loss with Adam over mini-batches; without both labels only the bias is fit.
+
+    ``factors=0`` leaves the pairs out and fits linear weights alone.
+    """
     prior = (y.sum() + 1) / (len(y) + 2)
     bias = float(np.log(prior / (1 - prior)))
     slots = np.zeros(BUCKETS, np.int32)
     if len(y) == 0 or y.min() == y.max():
-        return Machine(bias, slots, np.zeros(1), np.zeros((1, FACTORS)))
+        return Machine(bias, slots, np.zeros(1), np.zeros((1, factors)))
     counts = np.bincount(np.concatenate(rows), minlength=BUCKETS)
-    kept = np.flatnonzero(counts >= max(3, MIN_SHARE * len(rows)))
+    kept = np.flatnonzero(counts >= min_count)
     slots[kept] = np.arange(1, len(kept) + 1)
     rng = np.random.default_rng(seed)
     size = len(kept) + 1
     # one matrix: linear weight in column 0, factors in the rest, so Adam steps once
-    theta = np.zeros((size, FACTORS + 1))
-    penalty = np.array([PENALTY[0], *[PENALTY[1]] * FACTORS])
-    theta[1:, 1:] = rng.normal(0, 0.01, (size - 1, FACTORS))
+    theta = np.zeros((size, factors + 1))
+    penalty = np.array([PENALTY[0], *[PENALTY[1]] * factors])
+    theta[1:, 1:] = rng.normal(0, INITIAL, (size - 1, factors))
     first, second, step = np.zeros_like(theta), np.zeros_like(theta), 0
     own = [slots[r][slots[r] > 0] for r in rows]
     for _ in range(epochs):
@@ -99,14 +112,14 @@ def fit_machine(rows: list[np.ndarray], y: np.ndarray, epochs: int = 12, rate: f
             row = np.repeat(np.arange(len(batch)), [len(own[i]) for i in batch])
             v = theta[ids]
             scale = 1 / np.maximum(1, np.bincount(row, minlength=len(batch)))
-            sums = np.stack([np.bincount(row, v[:, f], len(batch)) for f in range(FACTORS + 1)], axis=1)
+            sums = np.stack([np.bincount(row, v[:, f], len(batch)) for f in range(factors + 1)], axis=1)
             squares = np.bincount(row, (v[:, 1:] ** 2).sum(1), len(batch))
             margin = bias + sums[:, 0] + ((sums[:, 1:] ** 2).sum(1) - squares) * scale / 2
             error = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - y[batch]
             slope = np.ones_like(v)
             slope[:, 1:] = (sums[row, 1:] - v[:, 1:]) * scale[row, None]
             slope *= error[row, None]
-            grad = np.stack([np.bincount(ids, slope[:, f], size) for f in range(FACTORS + 1)], axis=1) / len(batch)
+            grad = np.stack([np.bincount(ids, slope[:, f], size) for f in range(factors + 1)], axis=1) / len(batch)
             grad += penalty * theta
             step += 1
             first = 0.9 * first + 0.1 * grad
