@@ -23,6 +23,8 @@ MIN_COUNT = 3
 #: Penalties on squared linear weights and on squared factors.
 PENALTY = (3e-3, 3e-4)
 FACTORS = 8
+#: Rows of one step, and the fewest steps of a fit: a small sample is read more often.
+BATCH, STEPS = 256, 500
 #: Spread of the factors before the first step.
 INITIAL = 0.1
 #: Lengths of the word prefixes that are terms too.
@@ -86,7 +88,8 @@ def fit_machine(
 ) -> Machine:
     """Minimise log loss with Adam over mini-batches; without both labels only the bias is fit.
 
-    ``factors=0`` leaves the pairs out and fits linear weights alone.
+    ``factors=0`` leaves the pairs out and fits linear weights alone. The rows are read ``epochs``
+    times, or more often until STEPS steps are made.
     """
     prior = (y.sum() + 1) / (len(y) + 2)
     bias = float(np.log(prior / (1 - prior)))
@@ -104,10 +107,10 @@ def fit_machine(
     theta[1:, 1:] = rng.normal(0, INITIAL, (size - 1, factors))
     first, second, step = np.zeros_like(theta), np.zeros_like(theta), 0
     own = [slots[r][slots[r] > 0] for r in rows]
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-STEPS * BATCH // len(own)))):
         order = rng.permutation(len(own))
-        for at in range(0, len(order), 256):
-            batch = order[at : at + 256]
+        for at in range(0, len(order), BATCH):
+            batch = order[at : at + BATCH]
             ids = np.concatenate([own[i] for i in batch])
             row = np.repeat(np.arange(len(batch)), [len(own[i]) for i in batch])
             v = theta[ids]
