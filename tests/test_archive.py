@@ -109,3 +109,52 @@ def test_sample_export(spark, root, schema, tmp_path):
     export_sample(events.read_hours(spark, root, HOURS, schema), out, n=1)
     lines = [json.loads(line) for f in glob.glob(f"{out}/*.json") for line in open(f)]
     assert [r["id"] for r in lines] == ["1"] and lines[0]["actor"] == {"id": 7, "org": {"name": "o"}}
+
+
+def _texts(spark, rows):
+    return spark.createDataFrame(rows, "hour string, value string")
+
+
+def test_field_shapes_report_what_differs_between_hours(spark):
+    texts = _texts(
+        spark,
+        [
+            ("a", '{"n": 1, "s": "x", "o": {"p": 1}}'),
+            ("a", '{"n": 2.5, "s": null}'),
+            ("b", '{"n": "7", "o": {"p": 1, "q": [true]}}'),
+            ("b", "{broken"),
+            ("b", "[1]"),
+            ("b", None),
+        ],
+    )
+    got = {r.field: tuple(r)[1:] for r in events.field_shapes(texts).collect()}
+    assert got == {
+        "n": (2, 3, "DECIMAL; STRING", "VARIANT"),
+        "s": (1, 2, "STRING", "STRING"),
+        "o": (2, 2, "OBJECT<p: BIGINT, q: ARRAY<BOOLEAN>>; OBJECT<p: BIGINT>", "OBJECT<p: BIGINT, q: ARRAY<BOOLEAN>>"),
+    }
+    assert events.field_shapes(texts.limit(0)).count() == 0
+
+
+def test_unified_events_keep_every_value(spark):
+    big = 2**53 + 1
+    texts = _texts(
+        spark,
+        [
+            ("a", f'{{"n": {big}, "odd name": {{"VOID": 1}}, "m": 1, "z": null}}'),
+            ("b", '{"n": 0.5, "m": "one"}'),
+            ("b", "{broken"),
+            ("b", "[1, 2]"),
+            ("b", None),
+        ],
+    )
+    out = events.read_unified(texts)
+    types = {f.name: f.dataType.simpleString() for f in out.schema.fields}
+    assert types["m"] == "variant" and types["z"] == "string" and types["odd name"] == "struct<VOID:bigint>"
+    rows = out.withColumn("m", F.variant_get("m", "$", "string")).collect()
+    assert sorted(int(r.n * 2) for r in rows if r.n is not None) == [1, 2 * big]
+    assert {r.m for r in rows} == {"1", "one", None}
+    assert {r._corrupt for r in rows} == {"{broken", "[1, 2]", None} and len(rows) == 5
+    assert events.read_unified(texts.where("value is null")).columns == ["hour", "_corrupt"]
+    with pytest.raises(ValueError, match="HOUR"):
+        events.read_unified(_texts(spark, [("a", '{"HOUR": 1}')]))

@@ -453,6 +453,26 @@ ORACLE: dict[str, str] = {
     "events_json_inferred": _with(
         "select type, count(*) as cnt, cast(sum(k) as bigint) as k_total from records group by type", "records"
     ),
+    "events_field_shapes": """
+        with kinds as (select hour(ts) % 3 as kind, date_trunc('hour', ts) as h from events),
+        held(kind, field, shape) as (values
+          (0, 'id', 'BIGINT'), (1, 'id', 'BIGINT'), (2, 'id', 'BIGINT'), (0, 'amount', 'BIGINT'), (1, 'amount', 'DECIMAL'),
+          (0, 'user', 'BIGINT'), (1, 'user', 'STRING'), (2, 'user', 'OBJECT<id: BIGINT>'), (1, 'note', 'VOID'))
+        select field, count(distinct h) as hours, count(*) as events,
+          string_agg(distinct shape, '; ' order by shape) as shapes,
+          case when count(distinct shape) = 1 then min(shape)
+            when field = 'amount' then 'DECIMAL' else 'VARIANT' end as unified
+        from kinds join held using (kind) group by field
+        """,
+    "events_json_unified": """
+        with kinds as (select *, hour(ts) % 3 as kind from events)
+        select event_id as id, strftime(ts, '%Y-%m-%d-%-H') as hour,
+          case kind when 0 then floor(value) when 1 then floor(value) + 0.25 end::double as amount,
+          case kind when 0 then user_id::varchar when 1 then 'u' || user_id
+            else '{"id":' || user_id || '}' end as "user",
+          case kind when 2 then user_id end as user_id, true as no_note, true as readable
+        from kinds
+        """,
     "events_count": "select count(*) as cnt from events",
     "events_sample": _with("select id, type, created_at from records order by id limit 5", "records"),
     "json_flatten": _with(

@@ -485,6 +485,27 @@ def events_json_inferred(spark, sf_dir):
     )
 
 
+@query("events")
+def events_field_shapes(spark, sf_dir):
+    """Types of each field over hours whose payloads differ."""
+    return event_source.field_shapes(event_source.read_texts(spark, testtables.drifting_archive(spark, sf_dir)))
+
+
+@query("events")
+def events_json_unified(spark, sf_dir):
+    """The same hours read with the types that hold all of them."""
+    texts = event_source.read_texts(spark, testtables.drifting_archive(spark, sf_dir))
+    return event_source.read_unified(texts).select(
+        "id",
+        "hour",
+        F.col("amount").cast("double").alias("amount"),
+        F.variant_get("user", "$", "string").alias("user"),
+        F.try_variant_get("user", "$.id", "bigint").alias("user_id"),
+        F.col("note").isNull().alias("no_note"),
+        F.col("_corrupt").isNull().alias("readable"),
+    )
+
+
 @query("events")
 def events_count(spark, sf_dir):
     return event_source.row_count(_archive(spark, sf_dir))

@@ -221,3 +221,35 @@ def written_zone_seed(spark: SparkSession, sf_dir: str) -> str:
         return (root,)
 
     return _once(spark, sf_dir, "zone-seed", write)[0]
+
+
+def drifting_archive(spark: SparkSession, sf_dir: str) -> str:
+    """Hour folders of all events whose shape goes by the hour modulo 3.
+
+    0: whole amounts, users by number; 1: amounts with a fraction, users by text and a note that is
+    null; 2: no amounts, users as objects.
+    """
+
+    def write(root: str) -> str:
+        events = table(spark, sf_dir, "events").withColumn("kind", F.hour("ts") % 3)
+        cents = F.floor("value").cast("decimal(18, 0)") + F.lit("0.25").cast("decimal(3, 2)")
+        shapes = [
+            (F.floor("value").alias("amount"), F.col("user_id").alias("user")),
+            (
+                cents.alias("amount"),
+                F.concat(F.lit("u"), "user_id").alias("user"),
+                F.lit(None).cast("string").alias("note"),
+            ),
+            (F.struct(F.col("user_id").alias("id")).alias("user"),),
+        ]
+        texts = [
+            F.when(
+                F.col("kind") == i, F.to_json(F.struct(F.col("event_id").alias("id"), *shape), {"ignoreNullFields": "false"})
+            )
+            for i, shape in enumerate(shapes)
+        ]
+        lines = events.select(F.coalesce(*texts).alias("value"), F.date_format("ts", "yyyy-MM-dd-H").alias("hour"))
+        lines.hint("rebalance", "hour").write.partitionBy("hour").option("compression", "gzip").text(root)
+        return root
+
+    return _once(spark, sf_dir, "drifting-archive", write)
