@@ -130,9 +130,16 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, write) -> tuple:
     return _written[key]
 
 
-def _write_months(df: DataFrame, ts_col: str, root: str, mode: str = "append") -> None:
-    monthly = df.withColumn("ym", F.date_format(ts_col, "yyyy-MM"))
-    monthly.hint("rebalance", "ym").write.mode(mode).partitionBy("ym").parquet(root)
+def _write_months(df: DataFrame, ts_col: str, root: str) -> None:
+    _write_by_ym(df.withColumn("ym", F.date_format(ts_col, "yyyy-MM")), root)
+
+
+def _write_by_ym(monthly: DataFrame, root: str) -> None:
+    """Month folders straight from the scan: each task sorts its own rows by month, nothing is shuffled.
+
+    A month has a file from each task that met it, as many as the scan has splits.
+    """
+    monthly.write.mode("append").partitionBy("ym").parquet(root)
 
 
 def _month_span(df: DataFrame, ts_col: str) -> list[str]:
@@ -179,7 +186,7 @@ def drifting_months(spark: SparkSession, sf_dir: str, service: str = "Yellow") -
             }
         )
         _write_months(early, pickup, root)
-        middle.hint("rebalance", "ym").write.mode("append").partitionBy("ym").parquet(root)
+        _write_by_ym(middle, root)
         _write_months(late, pickup, root)
         return f"{root}/ym={{ym}}", _month_span(raw, pickup)
 
