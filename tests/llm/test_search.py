@@ -7,6 +7,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -116,6 +117,22 @@ def test_neighbours_reach_the_recall(spark):
     assert np.mean(recall) >= 0.9
 
 
+def test_few_pairs_are_looked_at_one_by_one(monkeypatch):
+    """Vectors without structure, of which the first columns abandon few."""
+    rng, einsum, pairs = np.random.default_rng(5), np.einsum, []
+    x = ann_scan._unit(rng.normal(size=(4_000, 64)))
+    lists = ann_scan.Lists(np.linalg.qr(rng.normal(size=(64, 64)))[0], x[:1], 1)
+    asked = pd.DataFrame({"class_id": range(200), "embedding": list(x[:200]), "probes": [[0]] * 200})
+    held = pd.DataFrame({"candidate": range(4_000), "vector": list(x), "list": 0})
+    monkeypatch.setattr(ann_scan.np, "einsum", lambda how, a, b: pairs.append(len(a)) or einsum(how, a, b))
+    got = ann_scan._scan(lists, asked, held, 20)
+    assert sum(pairs) < 0.2 * 200 * 4_000
+    true = np.argsort(-(x[:200] @ x.T), axis=1)[:, :20]
+    found = got.groupby("query_class")["class_id"].apply(set)
+    assert np.mean([len(found[i] & set(true[i])) / 20 for i in range(200)]) > 0.97
+    assert np.allclose(got["score"], (x[got["query_class"]] * x[got["class_id"]]).sum(axis=1), atol=1e-12)
+
+
 def test_neighbour_ties_copies_and_unusable_vectors(spark):
     rows = [(i, [1.0, 0.0]) for i in range(60)] + [(100, [0.5, 0.5]), (120, None), (140, [0.0, 0.0]), (160, [float("nan"), 1.0])]
     rows += [(180, [None, 1.0]), (200, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (20, [1.0, 0.0])]

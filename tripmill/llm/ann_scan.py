@@ -31,7 +31,9 @@ CANDIDATE_BLOCK, QUERY_BLOCK = 8_192, 4_096
 #: Queries of a block that are compared at a time.
 QUERY_SLAB = 128
 #: Columns of a block, candidates tested at a time, and spreads that the test allows.
-COLUMNS, STRIDE, SPREADS = 16, 512, 3.0
+COLUMNS, STRIDE, SPREADS = 16, 256, 3.0
+#: Share of the pairs below which they are looked at one by one; error of a whole rotated product for vectors of length 1.
+SPARSE, ROUNDING = 0.02, 1e-9
 
 
 @dataclass
@@ -103,6 +105,11 @@ def _scan(lists: Lists, queries: pd.DataFrame, candidates: pd.DataFrame, k: int)
     return pd.concat([_scan_slab(lists, slab, held, k) for slab in slabs])
 
 
+def _slack(seen: int, width: int) -> float:
+    """What is added to the product over the columns seen before the test, for vectors of length 1."""
+    return max(SPREADS * np.sqrt((1 - seen / width) / seen) * seen / width, ROUNDING)
+
+
 def _scan_slab(lists: Lists, queries: pd.DataFrame, held: tuple[np.ndarray, ...], k: int) -> pd.DataFrame:
     x, turned_x, norm_x, own_list, ids = held
     q = np.stack(queries["embedding"]).astype(float)
@@ -114,23 +121,26 @@ def _scan_slab(lists: Lists, queries: pd.DataFrame, held: tuple[np.ndarray, ...]
     bar = np.full(len(q), -np.inf)
     best_q, best_id, best_score = np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0)
     for at in range(0, len(x), STRIDE):
-        here = np.arange(at, min(at + STRIDE, len(x)))
-        partial = turned_q[:, :COLUMNS] @ turned_x[here, :COLUMNS].T
-        seen = min(COLUMNS, width)
-        spread = SPREADS * np.sqrt((1 - seen / width) / seen)
-        alive = probed[:, own_list[here]]
-        alive &= partial * (width / seen) + spread * np.outer(norm_q, norm_x[here]) >= bar[:, None]
+        here = slice(at, min(at + STRIDE, len(x)))
+        alive = np.take(probed, own_list[here], axis=1)
+        norms, partial, seen = np.outer(norm_q, norm_x[here]), np.zeros(alive.shape), 0
+        left = np.count_nonzero(alive)
+        # while many pairs are left, one product of matrices costs less than the pairs one by one
+        while seen < width and left > SPARSE * alive.size:
+            block = slice(seen, min(seen + COLUMNS, width))
+            partial += turned_q[:, block] @ turned_x[here, block].T
+            seen = block.stop
+            alive &= partial + _slack(seen, width) * norms >= (seen / width * bar)[:, None]
+            left = np.count_nonzero(alive)
         qi, ci = np.nonzero(alive)
         part = partial[qi, ci]
-        ci = here[ci]
+        ci = ci + at
         while seen < width and len(qi):
             block = slice(seen, min(seen + COLUMNS, width))
             part = part + np.einsum("ij,ij->i", turned_q[qi, block], turned_x[ci, block])
             seen = block.stop
-            if seen < width:
-                spread = SPREADS * np.sqrt((1 - seen / width) / seen)
-                on = part * (width / seen) + spread * norm_q[qi] * norm_x[ci] >= bar[qi]
-                qi, ci, part = qi[on], ci[on], part[on]
+            on = part + _slack(seen, width) * norm_q[qi] * norm_x[ci] >= seen / width * bar[qi]
+            qi, ci, part = qi[on], ci[on], part[on]
         score = np.einsum("ij,ij->i", q[qi], x[ci])
         best_q, best_id, best_score = np.append(best_q, qi), np.append(best_id, ids[ci]), np.append(best_score, score)
         order = np.lexsort((best_id, -best_score, best_q))
