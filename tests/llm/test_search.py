@@ -350,3 +350,11 @@ def test_pieces_are_encoded_as_the_tokenizer_does():
         part = texts[at : at + 5_000]
         want = [[*e.ids, 2] for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
         assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(pa.array(part))] == want
+
+
+def test_a_word_is_kept_once_whatever_its_case_and_the_signs_after_it():
+    encoder, tokenizer = token_index._Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    texts = ["Word, word. WORD! word", "été, été. don't", ""]
+    want = [[*e.ids, 2] for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(pa.array(texts))] == want
+    assert sorted(encoder.memo) == sorted(["word", "été", "don't", "", ",", ".", "!"])

@@ -34,10 +34,10 @@ CHUNK_BYTES = 1 << 20
 BUCKET_KEYS = 50_000
 #: Bits of a level for each key still to be placed.
 LEVEL_BITS = 2.0
-#: Pieces whose ids a worker keeps; all are dropped when there are more.
+#: Words whose ids a worker keeps; all are dropped when there are more.
 MEMO = 800_000
-#: Words with letters beyond this one are encoded as they stand.
-_LAST_LATIN = "\u024f"
+# Latin letters; the lower case of the one left out (U+0130) brings a mark, which is no letter to the tokenizer
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
 
 _PAYLOAD = (
     "shard int, chunk int, width int, n_ids long, doc_ids array<long>, occurrences array<long>, "
@@ -54,9 +54,9 @@ class _Encoder:
     """Ids of texts, as bytes.
 
     The tokenizer drops white space and no token reaches across it, so a text's ids are those of
-    its pieces between spaces and line ends, one after the other; pieces repeat, so their ids are
-    kept. A new piece of letters and a tail of ASCII symbols is two tokens groups to the tokenizer
-    in any case, and ASCII letters lose their case, so such pieces share the encoding of their word.
+    its pieces between spaces and line ends, one after the other. A piece of letters and a tail of
+    ASCII symbols is two token groups to the tokenizer in any case, and ASCII letters lose their case,
+    so such pieces are put together from their word and their tail. Words repeat, so their ids are kept.
     """
 
     def __init__(self, path: str):
@@ -76,40 +76,36 @@ class _Encoder:
                 ids.byteswap()
             self.memo[piece] = ids.tobytes()
 
-    def _coded(self, pieces: list[str]) -> list[bytes]:
+    def _coded(self, parts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
-        parts = {p: _parts(p) for p in pieces if p not in memo}
-        self._learn(list({x for group in parts.values() for x in group}.difference(memo)))
-        for piece, group in parts.items():
-            memo[piece] = memo[group[0]] if len(group) == 1 else memo[group[0]] + memo[group[1]]
-        return [memo[p] for p in pieces]
+        self._learn([p for p in parts if p not in memo])
+        return [memo[p] for p in parts]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
-        """Ids of each text: its distinct pieces are encoded, then laid out in the order of the text."""
+        """Ids of each text: the distinct words of its pieces are encoded, then laid out in the order of the text."""
         pieces = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         ends = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         flat = pieces.flatten().dictionary_encode()
-        which, coded = flat.indices.to_numpy(), self._coded(flat.dictionary.to_pylist())
-        width = self.dtype.itemsize
-        size = np.fromiter(map(len, coded), np.int64, len(coded)) // width
-        start, ids = np.cumsum(size) - size, np.frombuffer(b"".join(coded), self.dtype)
-        sizes = size[which]
-        stops = np.concatenate([[0], np.cumsum(sizes)])
-        laid = ids[np.repeat(start[which] - stops[:-1], sizes) + np.arange(stops[-1])].tobytes()
-        cuts = stops[ends] * width
+        parts = pa.concat_arrays(_parts(flat.dictionary)).dictionary_encode()
+        coded, of = self._coded(parts.dictionary.to_pylist()), parts.indices.to_numpy()
+        heads, tails = of[: len(flat.dictionary)].tolist(), of[len(flat.dictionary) :].tolist()
+        whole = [coded[h] + coded[t] for h, t in zip(heads, tails, strict=True)]
+        which = flat.indices.to_numpy()
+        sizes = np.fromiter(map(len, whole), np.int64, len(whole))[which]
+        laid = b"".join(np.array(whole, dtype=object)[which].tolist())
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[ends].tolist()
         return [laid[a:b] + self.end for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def _parts(piece: str) -> tuple[str, ...]:
-    word = piece.rstrip(string.punctuation)
-    # a letter whose lower case brings a mark (U+0130) is not of letters alone to the tokenizer
-    if not word.lower().isalpha() or max(word) > _LAST_LATIN:
-        return (piece,)
-    tail = piece[len(word) :]
-    word = word.lower() if word.isascii() else word
-    return (word, tail) if tail else (word,)
+def _parts(pieces: pa.Array) -> list[pa.Array]:
+    """Word and tail of each piece of letters and ASCII symbols after them; else the piece and ''."""
+    bare = pc.utf8_rtrim(pieces, characters=string.punctuation)
+    split = pc.match_substring_regex(bare, f"^{_LETTERS}$")
+    word = pc.if_else(pc.string_is_ascii(bare), pc.ascii_lower(bare), bare)
+    tail = pc.replace_substring_regex(pieces, f"^{_LETTERS}", "")
+    return [pc.if_else(split, word, pieces), pc.if_else(split, tail, "")]
 
 
 _encoders: dict[str, _Encoder] = {}
