@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
+from pyspark.sql import functions as F
 
 from tests.llm.corpus import SCHEMA, docs, empty, odd, words
 from tripmill.llm import language_kernel, phrase_mining, token_alignment
@@ -268,3 +269,22 @@ def test_phrases_of_odd_rows(spark):
     assert sorted(phrase_mining.collocations(frame, 2, slice_bytes=50).collect()) == sorted(got)
     assert phrase_mining.collocations(empty(spark)).collect() == []
     assert "op13_phrase_mining" in ORACLE
+
+
+def test_a_task_gives_a_phrase_once(spark, monkeypatch):
+    """However many slices it reads, and the same counts when it holds few rows at a time."""
+    frame = docs(spark, ["some words stand here, and some words stand there"] * 60).select(F.lit("en").alias("lang"), "text")
+    every = np.full(1 << 10, 255, np.uint8)
+    made, group = [], type(frame).groupBy
+    monkeypatch.setattr(type(frame), "groupBy", lambda self, *by: made.append(self) or group(self, *by))
+    counted = phrase_mining._phrase_counts(frame.repartition(1), every, 100)
+    rows = sorted(made[0].collect())
+    assert len(rows) == len({(r.lang, r.phrase) for r in rows})
+    assert {r.phrase: r.n for r in rows if r["size"] in (0, 3)} == {
+        "": 540, "some words stand": 120, "words stand here": 60, "and some words": 60, "words stand there": 60
+    }
+    assert sorted(counted.collect()) == rows
+    monkeypatch.setattr(phrase_mining, "MERGED_ROWS", 3)
+    monkeypatch.setattr(phrase_mining, "HELD_ROWS", 5)
+    assert sorted(phrase_mining._phrase_counts(frame.repartition(1), every, 100).collect()) == rows
+    assert len(made[1].collect()) > len(rows)

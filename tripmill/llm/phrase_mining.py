@@ -41,7 +41,11 @@ FILTER_BITS = 1 << 26
 SLICE_BYTES, RANKED_ROWS = 2 << 20, 50_000
 _UNKNOWN = "und"
 
+#: Rows of counts that a task adds up at a time at least, and those it holds at most; tasks of the last pass for each core.
+MERGED_ROWS, HELD_ROWS, TASKS = 1 << 18, 1 << 19, 2
+
 _COUNTED = "lang string, phrase string, size int, n long"
+_NAMES = [x.split(" ")[0] for x in _COUNTED.split(", ")]
 #: Bits of one row of Spark's bitmap functions.
 _ROW_BITS = 32_768
 
@@ -175,30 +179,65 @@ def _key_counts(texts: DataFrame, new: np.ndarray, old: np.ndarray | None, sizes
     return rows.groupBy("key", "open").agg(F.sum("n").alias("n"))
 
 
+def _slice_counts(part: pa.RecordBatch, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """lang, phrase, size, n of a slice of texts."""
+    words = _keys(part.column(1), part.column(0))
+    whole = np.bincount(words.lang, minlength=len(words.langs))
+    none = [pa.array([""] * len(whole)), pa.array(np.zeros(len(whole), np.int32)), pa.array(whole)]
+    # all words of each language, as the count of the phrase without words
+    yield pa.RecordBatch.from_arrays([words.langs, *none], names=_NAMES)
+    for size, places, keys in _count(words, frequent, None, range(1, LONGEST + 1)):
+        places = places[_holds(frequent, keys)]
+        ids, at = _distinct(words.ids[places])
+        for i in range(1, size):
+            ids, at = _distinct(ids * (len(words.codes) + 1) + words.ids[places + i])
+        at = places[at]
+        parts = [words.vocabulary.take(pa.array(words.codes[at + i])) for i in range(size)]
+        columns = [words.langs.take(pa.array(words.lang[at])), pc.binary_join_element_wise(*parts, " ")]
+        columns += [pa.array(np.full(len(at), size, np.int32)), pa.array(np.bincount(ids, minlength=len(at)))]
+        yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
+
+def _summed(counted: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """One row for each phrase."""
+    sums = pa.Table.from_batches(counted).group_by(_NAMES[:3], use_threads=False).aggregate([("n", "sum")])
+    return sums.select([*_NAMES[:3], "n_sum"]).rename_columns(_NAMES).to_batches(max_chunksize=1 << 16)
+
+
+def _task_counts(
+    slices: Iterator[pa.RecordBatch], frequent: np.ndarray, merged_rows: int, held_rows: int
+) -> Iterator[pa.RecordBatch]:
+    """The counts of all slices of a task, added up; what is held is given out when it passes ``held_rows``."""
+    held, rows, most = [], 0, merged_rows
+    for part in slices:
+        for counted in _slice_counts(part, frequent):
+            held.append(counted)
+            rows += counted.num_rows
+        if rows > most:
+            held = _summed(held)
+            rows = sum(x.num_rows for x in held)
+            if rows > held_rows:
+                yield from held
+                held, rows = [], 0
+            # a row is added up again only with as many new ones
+            most = max(merged_rows, 2 * rows)
+    if held:
+        yield from _summed(held)
+
+
 def _phrase_counts(texts: DataFrame, frequent: np.ndarray, slice_bytes: int) -> DataFrame:
-    """lang, phrase, size, n of what ``frequent`` holds with all its parts, by the words themselves."""
-    names = [x.split(" ")[0] for x in _COUNTED.split(", ")]
+    """lang, phrase, size, n of what ``frequent`` holds with all its parts, by the words themselves.
+
+    A task gives a phrase once, and there are as many tasks as cores to run them, times TASKS: so rows
+    grow with the phrases that are frequent, not with these times the slices.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _slices(batch, slice_bytes):
-                words = _keys(part.column(1), part.column(0))
-                whole = np.bincount(words.lang, minlength=len(words.langs))
-                none = [pa.array([""] * len(whole)), pa.array(np.zeros(len(whole), np.int32)), pa.array(whole)]
-                # all words of each language, as the count of the phrase without words
-                yield pa.RecordBatch.from_arrays([words.langs, *none], names=names)
-                for size, places, keys in _count(words, frequent, None, range(1, LONGEST + 1)):
-                    places = places[_holds(frequent, keys)]
-                    ids, at = _distinct(words.ids[places])
-                    for i in range(1, size):
-                        ids, at = _distinct(ids * (len(words.codes) + 1) + words.ids[places + i])
-                    at = places[at]
-                    parts = [words.vocabulary.take(pa.array(words.codes[at + i])) for i in range(size)]
-                    columns = [words.langs.take(pa.array(words.lang[at])), pc.binary_join_element_wise(*parts, " ")]
-                    columns += [pa.array(np.full(len(at), size, np.int32)), pa.array(np.bincount(ids, minlength=len(at)))]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return texts.mapInArrow(read, _COUNTED).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+        slices = (part for batch in batches for part in _slices(batch, slice_bytes))
+        yield from _task_counts(slices, frequent, MERGED_ROWS, HELD_ROWS)
+
+    tasks = TASKS * texts.sparkSession.sparkContext.defaultParallelism
+    return texts.coalesce(tasks).mapInArrow(read, _COUNTED).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 
 def _bits(keys: DataFrame, bits: int) -> np.ndarray:
