@@ -288,3 +288,22 @@ def test_a_task_gives_a_phrase_once(spark, monkeypatch):
     monkeypatch.setattr(phrase_mining, "HELD_ROWS", 5)
     assert sorted(phrase_mining._phrase_counts(frame.repartition(1), every, 100).collect()) == rows
     assert len(made[1].collect()) > len(rows)
+
+
+def test_a_task_gives_a_key_once(spark, monkeypatch):
+    """Its slices are added up before the shuffle, and the counts are the same when it holds few keys at a time."""
+    frame = docs(spark, ["some words stand here, and some words stand there"] * 60).select(F.lit("en").alias("lang"), "text")
+    every = np.full(1 << 10, 255, np.uint8)
+    made, group = [], type(frame).groupBy
+    monkeypatch.setattr(type(frame), "groupBy", lambda self, *by: made.append(self) or group(self, *by))
+
+    def counted():
+        return phrase_mining._key_counts(frame.repartition(1), every, None, range(1, 6), 100)
+
+    rows = sorted((r.key, r.n) for r in counted().collect())
+    # 6 words; 5, 4, 3 and 1 phrases of 2 to 5 words
+    assert sorted(n for _, n in rows) == [60] * 13 + [120] * 6
+    assert sorted((r.key, r.n) for r in made[0].collect()) == rows
+    monkeypatch.setattr(phrase_mining, "HELD_KEYS", 5)
+    assert sorted((r.key, r.n) for r in counted().collect()) == rows
+    assert len(made[1].collect()) > len(rows)

@@ -43,6 +43,8 @@ _UNKNOWN = "und"
 
 #: Rows of counts that a task adds up at a time at least, and those it holds at most; tasks of the last pass for each core.
 MERGED_ROWS, HELD_ROWS, TASKS = 1 << 18, 1 << 19, 2
+#: Keys with their counts that a task of the other passes holds before it adds them up and gives them out.
+HELD_KEYS = 1 << 22
 
 _COUNTED = "lang string, phrase string, size int, n long"
 _NAMES = [x.split(" ")[0] for x in _COUNTED.split(", ")]
@@ -160,23 +162,50 @@ def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
     return (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b)
 
 
+def _summed_keys(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts): each key once."""
+    keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first, dtype=np.int64)
+
+
 def _key_counts(texts: DataFrame, new: np.ndarray, old: np.ndarray | None, sizes: range, slice_bytes: int) -> DataFrame:
     """key, open, n of what ``new`` lets through and ``old`` did not; open: not held, and not of the greatest length.
 
-    Two phrases with one key are counted together, so n is never too small.
+    Two phrases with one key are counted together, so n is never too small. A task adds up its slices
+    itself, so that the JVM does not keep a map of each task's keys before the shuffle as well as after it.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = {size: [] for size in sizes}, 0
+
+        def given() -> Iterator[pa.RecordBatch]:
+            for size, counted in held.items():
+                if counted:
+                    keys, n = _summed_keys(counted)
+                    counted.clear()
+                    for at in range(0, len(keys), 1 << 16):
+                        part = keys[at : at + (1 << 16)]
+                        fresh = ~_holds(new, part) if size < LONGEST else np.zeros(len(part), bool)
+                        columns = [pa.array(part.view(np.int64)), pa.array(fresh), pa.array(n[at : at + (1 << 16)])]
+                        yield pa.RecordBatch.from_arrays(columns, names=["key", "open", "n"])
+
         for batch in batches:
             for part in _slices(batch, slice_bytes):
                 for size, _, keys in _count(_keys(part.column(1), part.column(0)), new, old, sizes):
-                    codes, at = _distinct(keys.view(np.int64))
-                    fresh = ~_holds(new, keys[at]) if size < LONGEST else np.zeros(len(at), bool)
-                    columns = [pa.array(keys[at].view(np.int64)), pa.array(fresh), pa.array(np.bincount(codes, minlength=len(at)))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["key", "open", "n"])
-
-    rows = texts.mapInArrow(read, "key long, open boolean, n long")
-    return rows.groupBy("key", "open").agg(F.sum("n").alias("n"))
+                    if len(keys):
+                        codes, at = _distinct(keys.view(np.int64))
+                        held[size].append((keys[at], np.bincount(codes).astype(np.int32)))
+                        rows += len(at)
+                if rows > HELD_KEYS:
+                    yield from given()
+                    rows = 0
+        yield from given()
+
+    rows = texts.mapInArrow(read, "key long, open boolean, n long").repartition("key")
+    return rows.groupBy("key").agg(F.bool_or("open").alias("open"), F.sum("n").alias("n"))
 
 
 def _slice_counts(part: pa.RecordBatch, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
