@@ -358,3 +358,24 @@ def test_a_word_is_kept_once_whatever_its_case_and_the_signs_after_it():
     want = [[*e.ids, 2] for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(pa.array(texts))] == want
     assert sorted(encoder.memo) == sorted(["word", "été", "don't", "", ",", ".", "!"])
+
+
+def test_words_of_letters_skip_the_steps_that_do_not_change_them():
+    """The whole tokenizer sees other pieces only, and every letter has the ids it gives."""
+
+    class Seen:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.pieces = tokenizer, []
+
+        def encode_batch_fast(self, pieces, **options):
+            self.pieces += pieces
+            return self.tokenizer.encode_batch_fast(pieces, **options)
+
+    encoder, tokenizer = token_index._Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    encoder.tokenizer = seen = Seen(encoder.tokenizer)
+    letters = "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and chr(c) not in "ªµºİ")
+    texts = [" ".join(f"{c} x{c}{c.lower()}Y {c}n't" for c in letters), letters, "ÉTÉ, Straße ŒUVRE ǅ ŉ", "İx µm a\u0301 x9"]
+    want = [[*e.ids, 2] for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(pa.array(texts))] == want
+    assert {"İx", "µm", "a\u0301", "x9"} < set(seen.pieces)
+    assert not [p for p in seen.pieces if p.isascii() and p.isalpha() or p in ("été", "Straße")]

@@ -11,6 +11,7 @@ shard.
 from __future__ import annotations
 
 import os
+import re
 import string
 import sys
 import zlib
@@ -38,6 +39,7 @@ LEVEL_BITS = 2.0
 MEMO = 800_000
 # Latin letters; the lower case of the one left out (U+0130) brings a mark, which is no letter to the tokenizer
 _LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
+_WORD = re.compile(_LETTERS).fullmatch
 
 _PAYLOAD = (
     "shard int, chunk int, width int, n_ids long, doc_ids array<long>, occurrences array<long>, "
@@ -57,31 +59,42 @@ class _Encoder:
     its pieces between spaces and line ends, one after the other. A piece of letters and a tail of
     ASCII symbols is two token groups to the tokenizer in any case, and ASCII letters lose their case,
     so such pieces are put together from their word and their tail. Words repeat, so their ids are kept.
+    Of the tokenizer's steps before its model only lower case and bytes change a word of Latin letters:
+    such letters are composed already, and together they are one token group. So only these steps are run on it.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.of_words = Tokenizer(self.tokenizer.model)
+        self.of_words.normalizer = normalizers.Lowercase()
+        self.of_words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.end = np.array([END_ID], self.dtype).tobytes()
         self.memo: dict[str, bytes] = {}
 
     def _learn(self, pieces: list[str]) -> None:
-        kind = "H" if self.dtype.itemsize == 2 else "I"
-        for piece, coded in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            ids = array(kind, coded.ids)
-            if sys.byteorder == "big":
-                ids.byteswap()
-            self.memo[piece] = ids.tobytes()
-
-    def _coded(self, parts: list[str]) -> list[bytes]:
+        kind, words, others = "H" if self.dtype.itemsize == 2 else "I", [], []
+        for piece in pieces:
+            (words if _WORD(piece) else others).append(piece)
+        for tokenizer, own in ((self.of_words, words), (self.tokenizer, others)):
+            for piece, coded in zip(own, tokenizer.encode_batch_fast(own, add_special_tokens=False), strict=True):
+                ids = array(kind, coded.ids)
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                self.memo[piece] = ids.tobytes()
+
+    def _coded(self, parts: list[str]) -> pa.Array:
         if len(self.memo) > MEMO:
             self.memo.clear()
-        memo = self.memo
-        self._learn([p for p in parts if p not in memo])
-        return [memo[p] for p in parts]
+        coded = list(map(self.memo.get, parts))
+        missing = [i for i, c in enumerate(coded) if c is None]
+        self._learn([parts[i] for i in missing])
+        for i in missing:
+            coded[i] = self.memo[parts[i]]
+        return pa.array(coded, pa.large_binary())
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text: the distinct words of its pieces are encoded, then laid out in the order of the text."""
@@ -89,14 +102,12 @@ class _Encoder:
         ends = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         flat = pieces.flatten().dictionary_encode()
         parts = pa.concat_arrays(_parts(flat.dictionary)).dictionary_encode()
-        coded, of = self._coded(parts.dictionary.to_pylist()), parts.indices.to_numpy()
-        heads, tails = of[: len(flat.dictionary)].tolist(), of[len(flat.dictionary) :].tolist()
-        whole = [coded[h] + coded[t] for h, t in zip(heads, tails, strict=True)]
-        which = flat.indices.to_numpy()
-        sizes = np.fromiter(map(len, whole), np.int64, len(whole))[which]
-        laid = b"".join(np.array(whole, dtype=object)[which].tolist())
-        cuts = np.concatenate([[0], np.cumsum(sizes)])[ends].tolist()
-        return [laid[a:b] + self.end for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        both = self._coded(parts.dictionary.to_pylist()).take(parts.indices)
+        heads, tails = both.slice(0, len(flat.dictionary)), both.slice(len(flat.dictionary))
+        laid = pc.binary_join_element_wise(heads, tails, pa.scalar(b"", pa.large_binary())).take(flat.indices)
+        cuts = np.concatenate([[0], np.cumsum(pc.binary_length(laid).to_numpy())])[ends].tolist()
+        data = laid.buffers()[2].slice(0, cuts[-1]).to_pybytes() if cuts[-1] else b""
+        return [data[a:b] + self.end for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _parts(pieces: pa.Array) -> list[pa.Array]:
