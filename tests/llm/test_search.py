@@ -379,3 +379,21 @@ def test_words_of_letters_skip_the_steps_that_do_not_change_them():
     assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(pa.array(texts))] == want
     assert {"İx", "µm", "a\u0301", "x9"} < set(seen.pieces)
     assert not [p for p in seen.pieces if p.isascii() and p.isalpha() or p in ("été", "Straße")]
+
+
+def test_words_are_encoded_a_few_at_a_time(monkeypatch):
+    class Sized:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.sizes = tokenizer, []
+
+        def encode_batch_fast(self, pieces, **options):
+            self.sizes.append(len(pieces))
+            return self.tokenizer.encode_batch_fast(pieces, **options)
+
+    monkeypatch.setattr(token_index, "ENCODED", 3)
+    encoder, tokenizer = token_index._Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    encoder.tokenizer, encoder.of_words = Sized(encoder.tokenizer), Sized(encoder.of_words)
+    texts = ["seven words are encoded in three runs", "1 2x 3.4 5", ""]
+    want = [[*e.ids, 2] for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(pa.array(texts))] == want
+    assert encoder.of_words.sizes == [3, 3, 1] and max(encoder.tokenizer.sizes) <= 3

@@ -37,6 +37,8 @@ BUCKET_KEYS = 50_000
 LEVEL_BITS = 2.0
 #: Words whose ids a worker keeps; all are dropped when there are more.
 MEMO = 800_000
+#: Words that are encoded at a time: the tokenizer's own results take some hundred bytes a word.
+ENCODED = 1 << 14
 # Latin letters; the lower case of the one left out (U+0130) brings a mark, which is no letter to the tokenizer
 _LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
 _WORD = re.compile(_LETTERS).fullmatch
@@ -80,11 +82,13 @@ class _Encoder:
         for piece in pieces:
             (words if _WORD(piece) else others).append(piece)
         for tokenizer, own in ((self.of_words, words), (self.tokenizer, others)):
-            for piece, coded in zip(own, tokenizer.encode_batch_fast(own, add_special_tokens=False), strict=True):
-                ids = array(kind, coded.ids)
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                self.memo[piece] = ids.tobytes()
+            for at in range(0, len(own), ENCODED):
+                run = own[at : at + ENCODED]
+                for piece, coded in zip(run, tokenizer.encode_batch_fast(run, add_special_tokens=False), strict=True):
+                    ids = array(kind, coded.ids)
+                    if sys.byteorder == "big":
+                        ids.byteswap()
+                    self.memo[piece] = ids.tobytes()
 
     def _coded(self, parts: list[str]) -> pa.Array:
         if len(self.memo) > MEMO:
