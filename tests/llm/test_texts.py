@@ -8,15 +8,17 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 import tiktoken
 from pyspark.sql import functions as F
 
 from tests.llm.corpus import SCHEMA, docs, empty, odd, words
-from tripmill.llm import language_kernel, phrase_mining, token_alignment
+from tripmill.llm import common, language_kernel, phrase_mining, token_alignment
 from tripmill.llm.twins import ORACLE
 
 FIRST, SECOND = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -180,6 +182,45 @@ def test_stretches_are_encoded_as_within_their_text():
             assert whole[side][0].tolist() == parts[side][0].tolist(), repr(text)
 
 
+def test_links_of_a_block_are_packed():
+    for values in ([], [0], [5], [0, 0, 0, 300, 300, 70_000, 1 << 33], list(range(0, 3_000, 3))):
+        packed = token_alignment._packed(np.array(values, np.int64))
+        assert token_alignment._unpacked(packed, len(values)).tolist() == values
+    memo = token_alignment._memo(FIRST, SECOND)
+    made = token_alignment.align(memo, pa.array([" ".join(words(2_000, 300 + i)) for i in range(10)]))
+    block = token_alignment._block(0, list(range(10)), [made])
+    links = block.column("links").nbytes
+    assert len(made.links) > 50_000 and links < 3 * len(made.links)
+
+
+def test_alignment_holds_few_blocks_at_a_time(spark, tmp_path, monkeypatch):
+    """Readers hold a row group's blocks at once; all of a task's are one if the writer does not look at their size."""
+    monkeypatch.setattr(common, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setitem(token_alignment._ROW_GROUPS, "parquet.block.size", 50_000)
+    texts = [" ".join(words(1_000, 400 + i)) for i in range(40)]
+    got = token_alignment.alignment(docs(spark, texts).coalesce(1), FIRST, SECOND, 5_000, 5_000).collect()
+    assert len(got) == 40
+    (file,) = tmp_path.glob("align-blocks/*.parquet")
+    found = pq.ParquetFile(file).metadata
+    assert found.num_rows == 20 and found.num_row_groups >= 4
+
+
+def test_blocks_of_empty_texts_end(spark, conf):
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    frame = docs(spark, [""] * 50).coalesce(1)
+    sizes = [len(r.doc_ids) for r in token_alignment._blocks(frame, FIRST, SECOND, 20, 10).collect()]
+    assert sum(sizes) == 50 and max(sizes) == 20
+
+
+def test_scoring_drops_what_aligning_kept():
+    memo = token_alignment._memo(FIRST, SECOND)
+    made = token_alignment.align(memo, pa.array(["some words", "", "words"]))
+    own = token_alignment._block(0, [1, None, 3], [made]).to_pandas()
+    answers = pd.DataFrame({"pair": own["pairs"][0], "n": 1, "best": True})
+    out = token_alignment._score(own, answers)
+    assert out["n_best"].tolist() == out["count_sum"].tolist() == out["n_links"].tolist() and not token_alignment._memos
+
+
 def test_alignment_of_odd_rows(spark):
     frame = odd(spark).selectExpr("*", "doc_id as block", "doc_id as pair")
     got = token_alignment.alignment(frame, FIRST, SECOND).collect()

@@ -5,8 +5,9 @@ drives: every end looks for its place in the longer list by doubling steps from
 before, and then by bisection between the last two. Ends found in both cut the tokens into groups;
 the places themselves say which tokens of the longer list a token of the shorter one overlaps.
 
-Documents are encoded once, in stored blocks. How many documents hold an id pair is counted over all
-blocks, each of which adds up its own documents first; every block then asks for the pairs it holds.
+Documents are encoded once, in stored blocks, whose links are packed as one binary value and whose files
+have small row groups. How many documents hold an id pair is counted over all blocks, each of which adds
+up its own documents first; every block then asks for the pairs it holds.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from tripmill.llm.common import stored
 
 #: Ends of the driving list that gallop one after the other; so many runs go side by side.
 RUN = 64
-#: Bytes of whole texts that are encoded at a time, links of a block.
+#: Bytes of whole texts that are encoded at a time, links and documents of a block.
 SLICE_BYTES, BLOCK_LINKS = 1 << 20, 300_000
 #: Characters of distinct stretches that a worker keeps; all are dropped when there are more.
 MEMO_CHARS = 3_000_000
@@ -38,8 +39,10 @@ SECOND_IDS = 1 << 17
 
 _BLOCKS = (
     "block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "hashes array<string>, pairs array<long>, pair_docs array<int>, links array<int>"
+    "hashes array<string>, pairs array<long>, pair_docs array<int>, links binary"
 )
+# a block is a row of some hundred kB, and readers hold a row group of them at once
+_ROW_GROUPS = {"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 1}
 _OUT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -296,8 +299,27 @@ def align(memo: _Aligned, texts: pa.Array) -> _Made:
     return _Made(counts[:, :4], hashes, memo.links[member])
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Ascending numbers as steps of the fewest bytes, compressed: all lowest bytes first, then the next ones, which are mostly 0.
+
+    The first byte is the number of bytes of a step.
+    """
+    steps = np.diff(values, prepend=0)
+    steps = steps.astype(np.min_scalar_type(steps.max(initial=0)).newbyteorder("<"))
+    planes = steps.view(np.uint8).reshape(len(steps), steps.itemsize).T.tobytes()
+    return bytes([steps.itemsize]) + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    """The n numbers that were packed."""
+    width = data[0]
+    planes = pa.decompress(data[1:], n * width, "zstd", asbytes=True) if n else b""
+    steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n).T)
+    return np.cumsum(steps.view(f"<u{width}").ravel(), dtype=np.int64)
+
+
 def _block(number: int, doc_ids: list, made: list[_Made]) -> pa.RecordBatch:
-    """One row: the documents of a block, its distinct id pairs, and every link as a place among them."""
+    """One row: the documents of a block, its distinct id pairs, and every link as its document and a place among them."""
     counts = np.concatenate([m.counts for m in made])
     codes, pairs = pd.factorize(np.concatenate([m.links for m in made]))
     order = np.argsort(pairs)
@@ -308,8 +330,9 @@ def _block(number: int, doc_ids: list, made: list[_Made]) -> pa.RecordBatch:
     of = np.repeat(np.arange(len(counts)), counts[:, 3])
     held = np.sort(of * max(1, len(pairs)) + places)
     once = held[np.diff(held, prepend=-1) > 0] % max(1, len(pairs))
-    row = [number, doc_ids, *counts.T, [h for m in made for h in m.hashes], pairs, np.bincount(once, minlength=len(pairs)), places]
-    kinds = [pa.int64(), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 2]
+    docs_of = np.bincount(once, minlength=len(pairs))
+    row = [number, doc_ids, *counts.T, [h for m in made for h in m.hashes], pairs, docs_of, _packed(held)]
+    kinds = [pa.int64(), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
     names = [x.split(" ")[0] for x in _BLOCKS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
@@ -330,23 +353,30 @@ def _blocks(docs: DataFrame, first: str, second: str, block_links: int, slice_by
             for a, b in _slices(texts, slice_bytes):
                 made.append(align(memo, texts.slice(a, b - a)))
                 ids += keys[a:b]
-                size += len(made[-1].links)
+                size += len(made[-1].links) + b - a
                 if size >= block_links:
                     yield _block(number, ids, made)
                     number, ids, made, size = number + 1, [], [], 0
         if ids:
             yield _block(number, ids, made)
+        # Arrow keeps what it freed, a hundred MB, while the worker waits for the joins
+        pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(encode, _BLOCKS)
 
 
 def _score(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    # the worker may be one that aligned
+    if _memos:
+        _memos.clear()
+        pa.default_memory_pool().release_unused()
     block = own.iloc[0]
     answers = answers.sort_values("pair")
     assert np.array_equal(answers["pair"].to_numpy(), block["pairs"])
     n, best = answers["n"].to_numpy(np.int64), answers["best"].to_numpy(bool)
-    links, sizes = np.asarray(block["links"], np.int64), np.asarray(block["n_links"], np.int64)
-    stops = np.cumsum(sizes)
+    stops = np.cumsum(np.asarray(block["n_links"], np.int64))
+    # links are in the order of their documents
+    links = _unpacked(block["links"], stops[-1]) % max(1, len(n))
     total, most = (np.diff(np.append(0, np.cumsum(x[links]))[stops], prepend=0) for x in (n, best.astype(np.int64)))
     out = pd.DataFrame({"doc_id": pd.array([None if x is None or x != x else int(x) for x in block["doc_ids"]], dtype="Int64")})
     for name in ("n_a", "n_b", "n_groups", "n_links"):
@@ -370,7 +400,7 @@ def alignment(
     Extra columns are not read. A pair's count is added up in each block before the shuffle, so a
     pair in all documents is one row per block.
     """
-    blocks = stored(_blocks(docs, first, second, block_links, slice_bytes), "align-blocks", "zstd")
+    blocks = stored(_blocks(docs, first, second, block_links, slice_bytes), "align-blocks", "zstd", _ROW_GROUPS)
     held = blocks.select(F.col("block").alias("asker"), F.explode(F.arrays_zip("pairs", "pair_docs")).alias("p"))
     held = held.select("asker", F.col("p.pairs").alias("pair"), F.col("p.pair_docs").alias("n"))
     counts = stored(held.groupBy("pair").agg(F.sum("n").alias("n")), "align-counts")
@@ -379,5 +409,5 @@ def alignment(
     highest = counts.groupBy(left.alias("a")).agg(F.max("n").alias("highest"))
     ranked = counts.withColumn("a", left).join(highest, "a").select("pair", "n", (F.col("n") == F.col("highest")).alias("best"))
     answers = held.select("asker", "pair").join(ranked, "pair").select("asker", "pair", "n", "best")
-    rows = blocks.groupBy("block").cogroup(answers.groupBy("asker"))
+    rows = blocks.drop("pair_docs").groupBy("block").cogroup(answers.groupBy("asker"))
     return rows.applyInPandas(_score, _OUT)
